@@ -22,10 +22,11 @@ from pyspark.sql import functions as F
 
 from linecheck import functions as fn
 from linecheck import schemas as S
+from linecheck.operators.lookup import lookup, on
 from linecheck.operators.measured import is_small, largest_group, small_side
 from linecheck.operators.prepare import starts_sample
 from linecheck.operators.template import MEASURES, template_positions
-from linecheck.operators.timeline import DEFAULT_LIMIT, place, running_start, same
+from linecheck.operators.timeline import DEFAULT_LIMIT, calm_rows, place, running_start, settled_rows
 
 SAMPLE = (*S.HISTORY, "sample_ts")
 LINE = ("linenmb", *S.COORDINATES)
@@ -57,18 +58,17 @@ def sample_lanes(lines: DataFrame, limit: int = DEFAULT_LIMIT) -> list[Lane]:
 
     placed = place(lines, S.HISTORY, "datetime", starts_sample(), None, limit)
     home = (*S.HISTORY, "home")
-    calm = placed.rows.where(~F.col("settled")).drop("settled", "slot_sample")
-    calm = calm.withColumn("sample_ts", running_start(home, "datetime", starts_sample())).drop("datetime")
+    calm = calm_rows(placed, S.HISTORY, "datetime", starts_sample(), "sample_ts").drop("datetime")
     if placed.settled_samples is None:
         return [Lane(calm.distinct(), home, True)]
 
     large = small_side(placed.settled_samples)
-    among = same(calm, large, [*[(k, k) for k in S.HISTORY], ("sample_ts", "slot_sample")])
-    busy = placed.rows.where("settled").withColumn("sample_ts", F.col("slot_sample"))
+    pairs = [*on(S.HISTORY), ("sample_ts", "slot_sample")]
     columns = [*SAMPLE, "model_key", *LINE]
-    busy = busy.select(*columns).unionByName(calm.join(large, among, "left_semi").select(*columns))
+    busy = settled_rows(placed, "sample_ts").select(*columns)
+    busy = busy.unionByName(lookup(calm, large, pairs, "left_semi").select(*columns))
     return [
-        Lane(calm.join(large, among, "left_anti").distinct(), home, True),
+        Lane(lookup(calm, large, pairs, "left_anti").distinct(), home, True),
         Lane(busy.distinct(), SAMPLE, False),
     ]
 
@@ -94,7 +94,7 @@ def _not_above(lane: Lane, std: DataFrame) -> DataFrame:
     wanted = std.select(F.col("model_key"), "n_std").distinct()
     fitting = sizes.join(wanted, "model_key").where(F.col("found") <= F.col("n_std"))
     fitting = small_side(fitting.select(*SAMPLE))
-    return lane.lines.join(fitting, same(lane.lines, fitting, [(k, k) for k in SAMPLE]), "left_semi")
+    return lookup(lane.lines, fitting, on(SAMPLE), "left_semi")
 
 
 def _steps(lane: Lane, lines: DataFrame) -> DataFrame:

@@ -24,12 +24,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linecheck.operators.lookup import lookup, on
 from linecheck.operators.measured import largest_group, small_side, written
 
 DEFAULT_LIMIT = 2_000_000
@@ -37,17 +37,16 @@ DEFAULT_LIMIT = 2_000_000
 
 @dataclass(frozen=True)
 class Placed:
-    """Rows with ``home``, ``settled`` and ``slot_sample``; the settled samples, if any."""
+    """Rows with ``home``, ``settled``, ``own`` and ``known_start``; the settled samples, if any.
+
+    ``own`` rows follow a marker of their own slot and take their start from the window over
+    (history, home). All other rows have it in ``known_start``.
+    """
 
     rows: DataFrame
     settled_samples: DataFrame | None
 
 
-def same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Equality of columns in which a null equals a null."""
-    return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
-
-
 def day_of(rows: DataFrame, time: str) -> Column:
     """The day of a time, in the type of the time column, so that days sort like times."""
     kind = rows.schema[time].dataType
@@ -64,6 +63,18 @@ def running_start(keys: Sequence[str], time: str, marker: Column) -> Column:
     return F.max(F.when(marker, F.col(time))).over(so_far)
 
 
+def calm_rows(placed: Placed, keys: Sequence[str], time: str, marker: Column, start: str) -> DataFrame:
+    """The rows that are not settled, with their start, partitioned by (history, home)."""
+    window = running_start([*keys, "home"], time, marker)
+    rows = placed.rows.where(~F.col("settled"))
+    rows = rows.withColumn(start, F.when(F.col("own"), window).otherwise(F.col("known_start")))
+    return rows.drop("own", "known_start", "settled")
+
+
+def settled_rows(placed: Placed, start: str) -> DataFrame:
+    return placed.rows.where("settled").withColumnRenamed("known_start", start).drop("own", "settled", "home")
+
+
 def _facts(rows: DataFrame, keys: Sequence[str], slot: Column, time: str, marker: Column) -> DataFrame:
     mark = F.when(marker, F.col(time))
     return rows.groupBy(*keys, slot.alias("slot")).agg(
@@ -84,8 +95,7 @@ def slot_table(
         crowded = None
     else:
         crowded = small_side(crowded)
-        inside = rows.withColumn("wide_slot", slot)
-        inside = inside.join(crowded, same(inside, crowded, [(k, k) for k in (*keys, "wide_slot")]), "left_semi")
+        inside = lookup(rows.withColumn("wide_slot", slot), crowded, on([*keys, "wide_slot"]), "left_semi")
         narrow = _facts(inside, keys, F.col(time), time, marker)
         slots = slots.where(F.col("slot_rows") <= limit).unionByName(narrow.withColumn("single_time", F.lit(True)))
 
@@ -102,7 +112,7 @@ def slot_table(
     ).withColumn("slot_sample", F.when(F.col("one_sample"), F.coalesce("first_mark", "carried")))
     load = F.sum("slot_rows").over(Window.partitionBy(*keys, "one_sample", "slot_sample"))
     slots = slots.withColumn("settled", F.col("one_sample") & (load > limit))
-    return written(slots.drop("slot_rows", "carried", "one_sample"), "homes"), crowded
+    return written(slots.drop("slot_rows", "one_sample"), "homes"), crowded
 
 
 def place(
@@ -116,19 +126,17 @@ def place(
     cut = rows.withColumn("row_slot", slot)
     if crowded is not None:
         crowded = crowded.withColumn("crowded", F.lit(True))
-        pairs = [*[(k, k) for k in keys], ("row_slot", "wide_slot")]
-        cut = cut.join(crowded, same(cut, crowded, pairs), "left").select(
-            *[cut[c] for c in rows.columns],
-            F.when(crowded["crowded"], cut[time]).otherwise(cut["row_slot"]).alias("row_slot"),
-        )
-    slots = small_side(slots)
-    pairs = [*[(k, k) for k in keys], ("row_slot", "slot")]
-    own = cut[time] >= slots["first_mark"]
-    placed = cut.join(slots, same(cut, slots, pairs), "inner").select(
-        *[cut[c] for c in rows.columns],
-        F.when(own, slots["slot"]).otherwise(slots["carried_slot"]).alias("home"),
-        slots["slot_sample"],
-        slots["settled"],
+        cut = lookup(cut, crowded, [*on(keys), ("row_slot", "wide_slot")], "left", ["crowded"])
+        cut = cut.withColumn("row_slot", F.when(F.col("crowded"), F.col(time)).otherwise(F.col("row_slot")))
+    facts = ["slot", "first_mark", "carried", "carried_slot", "slot_sample", "settled"]
+    placed = lookup(cut, small_side(slots), [*on(keys), ("row_slot", "slot")], "inner", facts)
+    own = F.coalesce(F.col(time) >= F.col("first_mark"), F.lit(False)) & ~F.col("settled")
+    placed = placed.withColumn("own", own).select(
+        *rows.columns,
+        F.when(F.col("own"), F.col("slot")).otherwise(F.col("carried_slot")).alias("home"),
+        F.when(F.col("settled"), F.col("slot_sample")).otherwise(F.col("carried")).alias("known_start"),
+        "own",
+        "settled",
     )
     return Placed(placed, None if settled.isEmpty() else settled)
 
@@ -148,8 +156,7 @@ def segment(
         return rows.withColumn(start, running_start(keys, time, marker))
     placed = place(rows, keys, time, marker, slot, limit)
     columns = [*rows.columns, start]
-    calm = placed.rows.where(~F.col("settled")).withColumn(start, running_start([*keys, "home"], time, marker))
+    calm = calm_rows(placed, keys, time, marker, start).select(*columns)
     if placed.settled_samples is None:
-        return calm.select(*columns)
-    settled = placed.rows.where("settled").withColumn(start, F.col("slot_sample"))
-    return calm.select(*columns).unionByName(settled.select(*columns))
+        return calm
+    return calm.unionByName(settled_rows(placed, start).select(*columns))
