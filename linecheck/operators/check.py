@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from linecheck import functions as fn
 from linecheck import schemas as S
 from linecheck.operators.lookup import lookup, on
-from linecheck.operators.measured import is_small, largest_group, small_side
+from linecheck.operators.measured import fits_one_task, is_small, small_side, written
 from linecheck.operators.prepare import starts_sample
 from linecheck.operators.template import MEASURES, template_positions
 from linecheck.operators.timeline import DEFAULT_LIMIT, calm_rows, place, running_start, settled_rows
@@ -43,20 +43,19 @@ class Lane(NamedTuple):
     bounded: bool
 
 
-def sample_lanes(lines: DataFrame, limit: int = DEFAULT_LIMIT) -> list[Lane]:
+def sample_lanes(lines: DataFrame, slot: str | Column = "day", limit: int = DEFAULT_LIMIT) -> list[Lane]:
     """Distinct lines per sample, the whole of every sample in one lane.
 
     Normally there is one lane. Samples so large that their rows skipped the window
     of the segmentation go to a second one: its rows are made distinct under a hash of
     all columns, so neither many copies nor many lines of one sample meet in one task.
     """
-    kept = [*S.HISTORY, "model_key", "datetime", *LINE]
-    lines = lines.select(*kept)
-    if largest_group(lines, S.HISTORY) <= limit:
+    lines = lines.select(*S.HISTORY, "datetime", *LINE)
+    if fits_one_task(lines, S.HISTORY, limit):
         rows = lines.withColumn("sample_ts", running_start(S.HISTORY, "datetime", starts_sample()))
         return [Lane(rows.drop("datetime").distinct(), S.HISTORY, True)]
 
-    placed = place(lines, S.HISTORY, "datetime", starts_sample(), None, limit)
+    placed = place(lines, S.HISTORY, "datetime", starts_sample(), slot, limit)
     home = (*S.HISTORY, "home")
     calm = calm_rows(placed, S.HISTORY, "datetime", starts_sample(), "sample_ts").drop("datetime")
     if placed.settled_samples is None:
@@ -64,22 +63,23 @@ def sample_lanes(lines: DataFrame, limit: int = DEFAULT_LIMIT) -> list[Lane]:
 
     large = small_side(placed.settled_samples)
     pairs = [*on(S.HISTORY), ("sample_ts", "slot_sample")]
-    columns = [*SAMPLE, "model_key", *LINE]
+    beside = calm_rows(placed, S.HISTORY, "datetime", starts_sample(), "sample_ts", large)
+    columns = [*SAMPLE, *LINE]
     busy = settled_rows(placed, "sample_ts").select(*columns)
-    busy = busy.unionByName(lookup(calm, large, pairs, "left_semi").select(*columns))
+    busy = busy.unionByName(lookup(beside, large, pairs, "left_semi").select(*columns))
     return [
         Lane(lookup(calm, large, pairs, "left_anti").distinct(), home, True),
-        Lane(busy.distinct(), SAMPLE, False),
+        Lane(written(busy.distinct(), "busy"), SAMPLE, False),
     ]
 
 
-def sample_sizes(lines: DataFrame, *, limit: int = DEFAULT_LIMIT) -> DataFrame:
+def sample_sizes(lines: DataFrame, *, slot: str | Column = "day", limit: int = DEFAULT_LIMIT) -> DataFrame:
     """Number of distinct lines of every sample."""
     sizes = [
         lane.lines.groupBy(*dict.fromkeys([*lane.owner, *SAMPLE]))
         .agg(F.count("*").cast("int").alias("n_lines"))
         .select(*SAMPLE, "n_lines")
-        for lane in sample_lanes(lines, limit)
+        for lane in sample_lanes(lines, slot, limit)
     ]
     return reduce(DataFrame.unionByName, sizes)
 
@@ -90,11 +90,11 @@ def _not_above(lane: Lane, std: DataFrame) -> DataFrame:
     Sizes come from a partial aggregation. The samples left over are at most as large
     as a template, and so is what a window over them has to sort.
     """
-    sizes = lane.lines.groupBy(*SAMPLE, "model_key").agg(F.count("*").alias("found"))
-    wanted = std.select(F.col("model_key"), "n_std").distinct()
+    sizes = lane.lines.groupBy(*SAMPLE).agg(F.count("*").alias("found"))
+    sizes = sizes.withColumn("model_key", fn.model_key(F.col("mcid")))
+    wanted = std.select("model_key", "n_std").distinct()
     fitting = sizes.join(wanted, "model_key").where(F.col("found") <= F.col("n_std"))
-    fitting = small_side(fitting.select(*SAMPLE))
-    return lookup(lane.lines, fitting, on(SAMPLE), "left_semi")
+    return lookup(lane.lines, small_side(fitting.select(*SAMPLE)), on(SAMPLE), "left_semi")
 
 
 def _steps(lane: Lane, lines: DataFrame) -> DataFrame:
@@ -114,7 +114,7 @@ def _steps(lane: Lane, lines: DataFrame) -> DataFrame:
 
     return placed.select(
         *owner,
-        "model_key",
+        fn.model_key(F.col("mcid")).alias("model_key"),
         F.count("*").over(sample).cast("int").alias("n_lines"),
         "pos",
         F.when(F.col("pos") == 1, F.lit(1)).otherwise(F.col("linenmb")).alias("line"),
@@ -123,14 +123,14 @@ def _steps(lane: Lane, lines: DataFrame) -> DataFrame:
     )
 
 
-def _compared(lines: DataFrame, templates: DataFrame, limit: int) -> list[Lane]:
+def _compared(lines: DataFrame, templates: DataFrame, slot: str | Column, limit: int) -> list[Lane]:
     """Lines joined to the template line of their position, lane by lane."""
     std = template_positions(templates).drop("line")
     if is_small(templates):
         std = F.broadcast(std)
         lines = lines.join(F.broadcast(templates.select("model_key").distinct()), "model_key", "left_semi")
     lanes = []
-    for lane in sample_lanes(lines, limit):
+    for lane in sample_lanes(lines, slot, limit):
         fitting = lane.lines if lane.bounded else _not_above(lane, std)
         steps = _steps(lane, fitting).join(std, ["model_key", "pos"]).where(F.col("n_lines") <= F.col("n_std"))
         lead = fn.deviation(F.col("lead_step"), F.col("lead_diff"))
@@ -143,7 +143,9 @@ def _compared(lines: DataFrame, templates: DataFrame, limit: int) -> list[Lane]:
     return lanes
 
 
-def full_samples(lines: DataFrame, templates: DataFrame, *, limit: int = DEFAULT_LIMIT) -> DataFrame:
+def full_samples(
+    lines: DataFrame, templates: DataFrame, *, slot: str | Column = "day", limit: int = DEFAULT_LIMIT
+) -> DataFrame:
     """Every line of the samples that have as many lines as their template.
 
     Columns: the sample, position, reported number, distances to the line before, their
@@ -153,7 +155,7 @@ def full_samples(lines: DataFrame, templates: DataFrame, *, limit: int = DEFAULT
         lane.lines.where(F.col("n_lines") == F.col("n_std")).select(
             *SAMPLE, "pos", "line", "lead_step", "pad_step", "lead_offset", "pad_offset", "bad"
         )
-        for lane in _compared(lines, templates, limit)
+        for lane in _compared(lines, templates, slot, limit)
     ]
     return reduce(DataFrame.unionByName, frames)
 
@@ -167,29 +169,42 @@ def _code() -> Column:
     )
 
 
-def _per_sample(lines: DataFrame, templates: DataFrame, limit: int, values: list[Column]) -> DataFrame:
+def _per_sample(
+    lines: DataFrame, templates: DataFrame, slot: str | Column, limit: int, values: list[Column]
+) -> DataFrame:
     frames = [
         lane.lines.groupBy(*dict.fromkeys([*lane.owner, *SAMPLE]), "n_lines", "n_std").agg(*values)
-        for lane in _compared(lines, templates, limit)
+        for lane in _compared(lines, templates, slot, limit)
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def sample_codes(lines: DataFrame, templates: DataFrame, *, limit: int = DEFAULT_LIMIT) -> DataFrame:
+def sample_codes(
+    lines: DataFrame, templates: DataFrame, *, slot: str | Column = "day", limit: int = DEFAULT_LIMIT
+) -> DataFrame:
     """Verdict code and number of lines of every sample."""
-    checked = _per_sample(lines, templates, limit, [_code().alias("code")])
+    checked = _per_sample(lines, templates, slot, limit, [_code().alias("code")])
     return checked.select("equipmentid", "mcid", F.col("sample_ts").alias("datetime"), "n_lines", "n_std", "code")
 
 
 def check(
-    lines: DataFrame, templates: DataFrame, *, decimals: int = 2, limit: int = DEFAULT_LIMIT
+    lines: DataFrame,
+    templates: DataFrame,
+    *,
+    decimals: int = 2,
+    slot: str | Column = "day",
+    limit: int = DEFAULT_LIMIT,
 ) -> DataFrame:
-    """Verdicts (equipmentid, mcid, datetime, code, description) of typed lines."""
+    """Verdicts (equipmentid, mcid, datetime, code, description) of typed lines.
+
+    ``limit`` is the number of rows a task may have to sort. Where a history has more, it is
+    cut into slots of the given width, see ``timeline``.
+    """
     failed = (F.col("n_lines") == F.col("n_std")) & F.col("bad")
     text = fn.line_text(F.col("line"), F.col("lead_offset"), F.col("pad_offset"), decimals)
     failures = F.collect_list(F.when(failed, F.struct("pos", text.alias("text"))))
     in_order = F.transform(F.array_sort("failures"), lambda f: f["text"])
-    checked = _per_sample(lines, templates, limit, [_code().alias("code"), failures.alias("failures")])
+    checked = _per_sample(lines, templates, slot, limit, [_code().alias("code"), failures.alias("failures")])
     description = (
         F.when(F.col("code") == S.LINES_MISSING, fn.missing_lines_text(F.col("n_lines"), F.col("n_std")))
         .when(F.col("code") == S.OUT_OF_TOLERANCE, F.concat_ws("|", in_order))

@@ -26,8 +26,8 @@ def written(table: DataFrame, name: str) -> DataFrame:
 
 
 def is_small(table: DataFrame, most: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most ``most`` rows; counting stops there."""
-    return table.limit(most + 1).count() <= most
+    """Whether the table has at most ``most`` rows."""
+    return table.count() <= most
 
 
 def small_side(table: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
@@ -38,7 +38,9 @@ def small_side(table: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(table) if is_small(table, most) else table
 
 
-def largest_group(rows: DataFrame, keys: Sequence[str]) -> int:
-    """Number of rows of the largest group; only this number reaches the driver."""
+def fits_one_task(rows: DataFrame, keys: Sequence[str], limit: int) -> bool:
+    """Whether no group has more than ``limit`` rows; only one number reaches the driver."""
+    if rows.count() <= limit:
+        return True
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+    return sizes.agg(F.max("n")).first()[0] <= limit

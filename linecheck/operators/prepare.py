@@ -27,14 +27,14 @@ def typed_lines(raw: DataFrame) -> DataFrame:
     )
 
 
-def prepare(raw: DataFrame, *, limit: int = DEFAULT_LIMIT) -> DataFrame:
+def prepare(raw: DataFrame, *, slot: str | Column = "day", limit: int = DEFAULT_LIMIT) -> DataFrame:
     """Typed lines with the start time of their sample in ``sample_ts``.
 
     A sample is known by (equipmentid, mcid, sample_ts), not by one packed text. Rows
     before the first marker of their machine and model form a sample whose start is
     null; they do not take over the start of another machine.
     """
-    return segment(typed_lines(raw), S.HISTORY, "datetime", starts_sample(), limit=limit)
+    return segment(typed_lines(raw), S.HISTORY, "datetime", starts_sample(), slot=slot, limit=limit)
 
 
 def listed_models(model_list: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ the largest history is one that a task can sort (``limit`` rows, measured).
 Beyond that, histories are cut into time slots:
 
 1. ``slot_table`` counts rows and marker times per history and slot. A slot is a
-   day; a day with more than ``limit`` rows is cut at every distinct time. The slots
+   day, say; one with more than ``limit`` rows is cut at every distinct time. The slots
    of a history are few, and a window over them carries the last marker forward.
 2. ``place`` joins that table to the rows and tells every row its *home*: the slot in
    which its sample started. All rows of one sample share one home.
@@ -30,14 +30,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linecheck.operators.lookup import lookup, on
-from linecheck.operators.measured import largest_group, small_side, written
+from linecheck.operators.measured import fits_one_task, small_side, written
 
 DEFAULT_LIMIT = 2_000_000
 
 
 @dataclass(frozen=True)
 class Placed:
-    """Rows with ``home``, ``settled``, ``own`` and ``known_start``; the settled samples, if any.
+    """Rows with ``home``, ``settled``, ``own`` and ``known_start``; settled samples and their homes, if any.
 
     ``own`` rows follow a marker of their own slot and take their start from the window over
     (history, home). All other rows have it in ``known_start``.
@@ -47,13 +47,23 @@ class Placed:
     settled_samples: DataFrame | None
 
 
-def day_of(rows: DataFrame, time: str) -> Column:
-    """The day of a time, in the type of the time column, so that days sort like times."""
+# Length of the text of a time up to each width.
+WIDTHS = {"year": 4, "month": 7, "day": 10, "hour": 13, "minute": 16}
+
+
+def slot_of(rows: DataFrame, time: str, width: str | Column = "day") -> Column:
+    """The slot of a time, in the type of the time column, so that slots sort like times.
+
+    Times of any other type, or slots of another width, need a column that never falls
+    as the time grows.
+    """
+    if isinstance(width, Column):
+        return width
     kind = rows.schema[time].dataType
     if isinstance(kind, T.StringType):
-        return F.substring(time, 1, 10)
+        return F.substring(time, 1, WIDTHS[width])
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.col(time).cast("date").cast(kind)
+        return F.date_trunc(width, time).cast(kind)
     raise ValueError(f"name a slot for a time column of type {kind.simpleString()}")
 
 
@@ -63,10 +73,17 @@ def running_start(keys: Sequence[str], time: str, marker: Column) -> Column:
     return F.max(F.when(marker, F.col(time))).over(so_far)
 
 
-def calm_rows(placed: Placed, keys: Sequence[str], time: str, marker: Column, start: str) -> DataFrame:
-    """The rows that are not settled, with their start, partitioned by (history, home)."""
-    window = running_start([*keys, "home"], time, marker)
+def calm_rows(
+    placed: Placed, keys: Sequence[str], time: str, marker: Column, start: str, homes: DataFrame | None = None
+) -> DataFrame:
+    """The rows that are not settled, with their start, partitioned by (history, home).
+
+    With ``homes`` only the rows of these homes.
+    """
     rows = placed.rows.where(~F.col("settled"))
+    if homes is not None:
+        rows = lookup(rows, homes, on([*keys, "home"]), "left_semi")
+    window = running_start([*keys, "home"], time, marker)
     rows = rows.withColumn(start, F.when(F.col("own"), window).otherwise(F.col("known_start")))
     return rows.drop("own", "known_start", "settled")
 
@@ -116,12 +133,13 @@ def slot_table(
 
 
 def place(
-    rows: DataFrame, keys: Sequence[str], time: str, marker: Column, slot: Column | None, limit: int
+    rows: DataFrame, keys: Sequence[str], time: str, marker: Column, slot: str | Column, limit: int
 ) -> Placed:
     """Tell every row the slot in which its sample started."""
-    slot = day_of(rows, time) if slot is None else slot
+    slot = slot_of(rows, time, slot)
     slots, crowded = slot_table(rows, keys, time, marker, slot, limit)
-    settled = slots.where("settled").select(*keys, "slot_sample").distinct()
+    marked_slot = F.when(F.col("first_mark").isNotNull(), F.col("slot")).otherwise(F.col("carried_slot"))
+    settled = slots.where("settled").select(*keys, "slot_sample", marked_slot.alias("home")).distinct()
 
     cut = rows.withColumn("row_slot", slot)
     if crowded is not None:
@@ -148,11 +166,11 @@ def segment(
     marker: Column,
     *,
     start: str = "sample_ts",
-    slot: Column | None = None,
+    slot: str | Column = "day",
     limit: int = DEFAULT_LIMIT,
 ) -> DataFrame:
     """All rows, each with the start time of its sample (null before the first marker)."""
-    if largest_group(rows, keys) <= limit:
+    if fits_one_task(rows, keys, limit):
         return rows.withColumn(start, running_start(keys, time, marker))
     placed = place(rows, keys, time, marker, slot, limit)
     columns = [*rows.columns, start]

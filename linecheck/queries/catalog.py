@@ -22,8 +22,10 @@ from linecheck.streaming import inspect
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Small enough that the slots of the segmentation come into play on the test tables.
-TIGHT = 20
+# Small enough that slots and cuts of crowded ones come into play on the given tables,
+# and with NARROW also samples that skip the window.
+IN_SLOTS = {"slot": "year", "limit": 100}
+NARROW = {"slot": "month", "limit": 12}
 
 # Times at which the readings of the streamed query are cut into arrivals.
 ARRIVALS = ("1997-07-01 00:00:00", "1999-07-01 00:00:00")
@@ -76,27 +78,31 @@ def segment_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def segment_lines_in_slots(spark: SparkSession, folder: str) -> DataFrame:
-    return prepare(inputs.readings(spark, folder), limit=TIGHT).drop("model_key")
+    return prepare(inputs.readings(spark, folder), **IN_SLOTS).drop("model_key")
 
 
-def _events(spark: SparkSession, folder: str, limit: int) -> DataFrame:
+def _events(spark: SparkSession, folder: str, **options) -> DataFrame:
     rows = inputs.table(spark, folder, "events").select("event_id", "user_id", "ts", "event_type")
     marker = F.col("event_type") == "signup"
-    return timeline.segment(rows, ["user_id"], "ts", marker, start="started", limit=limit)
+    return timeline.segment(rows, ["user_id"], "ts", marker, start="started", **options)
 
 
 def segment_events(spark: SparkSession, folder: str) -> DataFrame:
-    return _events(spark, folder, timeline.DEFAULT_LIMIT)
+    return _events(spark, folder)
 
 
 def segment_events_in_slots(spark: SparkSession, folder: str) -> DataFrame:
-    return _events(spark, folder, TIGHT // 5)
+    return _events(spark, folder, slot="day", limit=4)
 
 
 def sample_sizes(spark: SparkSession, folder: str) -> DataFrame:
     return checks.sample_sizes(inputs.lines(spark, folder))
 
 
+def sample_sizes_in_slots(spark: SparkSession, folder: str) -> DataFrame:
+    return checks.sample_sizes(inputs.lines(spark, folder), **NARROW)
+
+
 def template_lines(spark: SparkSession, folder: str) -> DataFrame:
     return template_positions(inputs.templates(spark, folder))
 
@@ -124,7 +130,7 @@ def sample_verdicts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sample_verdicts_in_slots(spark: SparkSession, folder: str) -> DataFrame:
-    return checks.check(inputs.lines(spark, folder), inputs.templates(spark, folder), limit=TIGHT)
+    return checks.check(inputs.lines(spark, folder), inputs.templates(spark, folder), **IN_SLOTS)
 
 
 def models_without_template(spark: SparkSession, folder: str) -> DataFrame:
@@ -193,14 +199,12 @@ def closed_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def template_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Templates written as one csv file per model, read back in one pass."""
+    """Templates written per model under its file name, all read back in one pass."""
     path = fresh_path(spark, "templates")
     rows = inputs.template_rows(spark, folder)
-    rows.repartition("model_key").write.partitionBy("model_key").option("header", True).csv(path)
-    found = files.read_csv(spark, path)
-    return found.select(
-        "model_key", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.TEMPLATE.fields]
-    )
+    rows = rows.withColumn("file", F.concat("model_key", F.lit(files.TEMPLATE_SUFFIX))).drop("model_key")
+    rows.repartition("file").write.partitionBy("file").option("header", True).csv(path)
+    return files.read_templates(spark, path)
 
 
 def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -267,6 +271,7 @@ QUERIES: dict[str, Query] = {
         segment_events,
         segment_events_in_slots,
         sample_sizes,
+        sample_sizes_in_slots,
         template_lines,
         template_counts,
         line_steps,

@@ -4,6 +4,12 @@ from __future__ import annotations
 
 from linecheck.queries.inputs import MARK, TEMPLATE_LINES
 
+
+def two_decimals(number: str) -> str:
+    """Text rounded half up on the shortest decimal form; ``printf`` would round the binary value."""
+    return f"round({number}::varchar::decimal(38, 17), 2)::decimal(38, 2)::varchar"
+
+
 READINGS = """
 readings as (
   select l_linenumber as linenmb,
@@ -74,8 +80,8 @@ verdicts as (
          case when n_lines < n_std then 2 when bool_or(bad) then 1 else 0 end as code,
          case when n_lines < n_std then '少线: 【实际/标准: ' || n_lines || '/' || n_std || '】'
               when bool_or(bad) then
-                string_agg('lineNmb' || line || '_leadOffset_' || printf('%.2f', lead_offset)
-                           || '_padOffset_' || printf('%.2f', pad_offset), '|' order by pos) filter (where bad)
+                string_agg('lineNmb' || line || '_leadOffset_' || {two_decimals("lead_offset")}
+                           || '_padOffset_' || {two_decimals("pad_offset")}, '|' order by pos) filter (where bad)
               else 'qualified' end as description
   from compared
   group by equipmentid, mcid, sample_ts, n_lines, n_std)"""
@@ -105,6 +111,12 @@ ALERT_LINES = """
 SEGMENTED_LINES = f"""with {READINGS}, {SEGMENTED}
   select linenmb, equipmentid, mcid, datetime, leadx, leady, padx, pady, sample_ts from segmented"""
 
+SAMPLE_SIZES = f"""with {READINGS}, {SEGMENTED},
+  lines as (
+    select distinct equipmentid, mcid, sample_ts, linenmb, leadx, leady, padx, pady from segmented)
+  select equipmentid, mcid, sample_ts, count(*)::int as n_lines from lines
+  group by equipmentid, mcid, sample_ts"""
+
 SEGMENTED_EVENTS = """
   select event_id, user_id, ts, event_type,
          max(case when event_type = 'signup' then ts end) over (partition by user_id order by ts) as started
@@ -154,11 +166,8 @@ ORACLE: dict[str, str] = {
     "segment_lines_in_slots": SEGMENTED_LINES,
     "segment_events": SEGMENTED_EVENTS,
     "segment_events_in_slots": SEGMENTED_EVENTS,
-    "sample_sizes": f"""with {READINGS}, {SEGMENTED},
-        lines as (
-          select distinct equipmentid, mcid, sample_ts, linenmb, leadx, leady, padx, pady from segmented)
-        select equipmentid, mcid, sample_ts, count(*)::int as n_lines from lines
-        group by equipmentid, mcid, sample_ts""",
+    "sample_sizes": SAMPLE_SIZES,
+    "sample_sizes_in_slots": SAMPLE_SIZES,
     "template_lines": f"""with {TEMPLATES}
         select model_key, pos, line, lead_diff, pad_diff, lead_limit, pad_limit, n_std from std""",
     "template_counts": f"with {TEMPLATES} select model_key, count(*)::int as n_std from template group by model_key",
@@ -219,7 +228,7 @@ ORACLE: dict[str, str] = {
         select equipmentid, mcid, count(*) as n_rows
         from readings join open_samples using (equipmentid, mcid)
         where datetime < closes group by equipmentid, mcid""",
-    "template_files": f"with {TEMPLATES} {TEMPLATE_FILE}",
+    "template_files": f"with {TEMPLATES} select model_key, line, lead_diff, pad_diff, lead_limit, pad_limit from template",
     "json_scan": f"with {TEMPLATES} {TEMPLATE_FILE}",
     "csv_scan": f"with {EQUIPMENT} select * from equipment",
     "parquet_scan": "select * from part",

@@ -1,0 +1,267 @@
+"""Reports, incremental runs, the whole job, the stream and the classifier."""
+
+import random
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+import golden
+import restated
+from linecheck import schemas as S
+from linecheck.operators import increments, report, stacking
+from linecheck.operators.check import check
+from linecheck.operators.prepare import listed_models, typed_lines
+from linecheck.plans import classify
+from linecheck.plans.inspection import Settings, run_inspection
+from linecheck.sources.files import read_mark, read_templates
+from linecheck.streaming import inspect
+from test_check import as_templates, ordered
+
+TEMPLATE_CSV = "lineNmb,leadDiff,padDiff,leadThreshold,padThreshold\n1,0,0,0.5,0.5\n2,5,3,0.5,0.5\n3,5,3,0.5,0.5\n"
+
+
+@pytest.fixture
+def verdicts(spark):
+    return spark.createDataFrame(golden.VERDICTS, S.VERDICTS)
+
+
+def test_alerts(spark, verdicts):
+    equipment = spark.createDataFrame([("m1", "E1", "p1", "a"), ("m2", "E1", "p2", "a"), ("m3", "E9", "p", "a")], S.EQUIPMENT)
+    found = report.alerts(verdicts, equipment)
+    assert found.columns == [*S.ALERT_COLUMNS, S.MACHINE, S.PLANT, S.AREA]
+    wanted = []
+    for eq, mc, time, code, text in golden.VERDICTS:
+        if eq == "E1" and code:
+            for machine, plant in (("m1", "p1"), ("m2", "p2")):
+                wanted.append((eq, mc, "NG", time, "缺线" if code == 2 else "不合格", text, machine, plant, "a"))
+    assert ordered(found.collect()) == ordered(wanted)
+    lines = {r.line for r in report.report_lines(found).collect()}
+    assert "(E1,M 1#1,NG,,缺线,少线: 【实际/标准: 1/3】)" in lines
+    first = report.first_rows(found, ["时间", "机台号"], 2).collect()
+    assert [r["机台号"] for r in first] == ["m1", "m2"] and first[0]["时间"] is None
+    assert report.alerts(verdicts, equipment.withColumn(S.BOX, F.lit(7))).count() == 0
+
+
+def test_quality_summary(verdicts):
+    rows = {r.model_key: r for r in report.quality_summary(verdicts).collect()}
+    assert set(rows) == {"M1", None}
+    total = rows[None]
+    assert (total.all_models, total.samples, total.qualified, total.out_of_tolerance, total.lines_missing) == (1, 12, 6, 4, 2)
+    assert total.qualified_percent == 50.0 and total.out_ratio == 4 / 12
+    empty = report.quality_summary(verdicts.where("false")).collect()
+    assert [(r.samples, r.out_ratio) for r in empty] in ([(0, None)], [])
+
+
+def test_stacking(spark):
+    a, b = spark.createDataFrame([(1, "x")], "a int, b string"), spark.createDataFrame([("y", 2)], "b string, a int")
+    assert stacking.stack_by_name([a, b]).orderBy("a").collect()[1].a == 2
+    assert stacking.stack([a, a.toDF("c", "d")]).count() == 2
+    assert {(r.a, r.part) for r in stacking.stack_tagged({"train": a, "test": b}).collect()} == {(1, "train"), (2, "test")}
+    for empty in (stacking.stack, stacking.stack_by_name):
+        with pytest.raises(ValueError):
+            empty([])
+
+
+def test_model_list(spark):
+    rows = spark.createDataFrame([("M 1",), ("M1",), ("M 2#1",), (" 0012",)], S.MODEL_LIST)
+    assert {r.model_key for r in listed_models(rows).collect()} == {"M1", "M2#1", "0012"}
+
+
+def test_mark_of_no_rows_is_null(spark):
+    rows = spark.createDataFrame(golden.READINGS, S.LINES)
+    assert increments.new_mark(rows).first()[0] == golden.DAY + "08:00:12"
+    assert increments.new_mark(increments.since(rows, "2022")).first()[0] is None
+
+
+class Plant:
+    """Input folders of a job, and its settings."""
+
+    def __init__(self, spark, root, **options):
+        self.spark = spark
+        (root / "templates").mkdir(parents=True)
+        (root / "templates" / "M1_stdModel.csv").write_text(TEMPLATE_CSV)
+        (root / "models.csv").write_text("mcID\nM 1\nM2\n")
+        (root / "equipment.csv").write_text("机台号,盒子编码,厂,区\nm1,E1,p,a\n")
+        self.settings = Settings(
+            readings=str(root / "readings"),
+            templates=str(root / "templates"),
+            model_list=str(root / "models.csv"),
+            equipment=str(root / "equipment.csv"),
+            verdicts=str(root / "verdicts"),
+            reports=str(root / "reports"),
+            mark=str(root / "mark"),
+            **options,
+        )
+
+    def add(self, rows):
+        self.spark.createDataFrame(rows, S.LINES).coalesce(1).write.mode("append").parquet(self.settings.readings)
+
+    def run(self):
+        return run_inspection(self.spark, self.settings)
+
+    def verdicts(self):
+        rows = self.spark.read.schema(S.VERDICTS).parquet(self.settings.verdicts).drop("run")
+        return ordered(rows.collect())
+
+
+def test_whole_job(spark, tmp_path):
+    plant = Plant(spark, tmp_path)
+    plant.add(golden.READINGS)
+    outcome = plant.run()
+    assert outcome.upto == golden.DAY + "08:00:12" == read_mark(spark, plant.settings.mark, "")
+    assert plant.verdicts() == ordered(golden.VERDICTS) == ordered(outcome.verdicts.collect())
+    assert [r.model_key for r in outcome.missing_templates.collect()] == ["M2"]
+    assert outcome.alerts.count() == 4
+    lines = spark.read.text(f"{plant.settings.reports}/20210423080012").collect()
+    assert len(lines) == 4 and all(r.value.startswith("(E1,M 1#1,NG,") for r in lines)
+
+    assert plant.run().upto is None and plant.verdicts() == ordered(golden.VERDICTS)
+    plant.add([(1, "E1", "M 1#1", "2021-04-24 00:00:00", "0", "0", "0", "0")])
+    assert plant.run().upto == "2021-04-24 00:00:00"
+    more = ("E1", "M 1#1", "2021-04-24 00:00:00", 2, "少线: 【实际/标准: 1/3】")
+    assert plant.verdicts() == ordered([*golden.VERDICTS, more])
+
+
+def test_broken_run_is_simply_repeated(spark, tmp_path):
+    plant = Plant(spark, tmp_path)
+    plant.add(golden.READINGS)
+    plant.run()
+    # As if the run had ended before its mark was written.
+    plant.settings = replace(plant.settings, mark=str(tmp_path / "unwritten"))
+    plant.run()
+    assert plant.verdicts() == ordered(golden.VERDICTS)
+
+
+def ticking_readings(seed):
+    """Samples of two machines in time order, some lines missing or out of place."""
+    rng = random.Random(seed)
+    rows = []
+    for eq, mc in (("E1", "M 1#1"), ("E2", "M1"), ("E2", "M 1#1")):
+        second = 0
+        for _ in range(12):
+            for line in (1, 2, 3):
+                second += rng.choice([0, 1, 1, 2]) if line > 1 else rng.choice([1, 2])
+                if rng.random() < 0.85:
+                    place = (line - 1) * 5 + rng.choice([0, 0, 0, 1])
+                    time = f"2021-04-23 08:{second // 60:02d}:{second % 60:02d}"
+                    rows.append((line, eq, mc, time, str(place), "0", str((line - 1) * 3), "0"))
+    return rows
+
+
+def parts(rows, cuts):
+    edges = ["", *cuts, "9"]
+    return [[r for r in rows if lo < r[3] <= hi] for lo, hi in zip(edges, edges[1:])]
+
+
+CUTS = ("2021-04-23 08:00:11", "2021-04-23 08:00:23")
+
+
+@pytest.mark.parametrize("seed", (1, 2))
+def test_runs_that_withhold_open_samples_equal_one_run(spark, tmp_path, seed):
+    rows = ticking_readings(seed)
+    plant = Plant(spark, tmp_path, withhold_open=True)
+    for part in parts(rows, CUTS):
+        plant.add(part)
+        plant.run()
+    whole = restated.verdicts(rows, {"M1": golden.TEMPLATE})
+    found = plant.verdicts()
+    last = {(eq, mc): max(r[3] for r in rows if (r[1], r[2], r[0]) == (eq, mc, 1)) for eq, mc in {r[1:3] for r in rows}}
+    assert found == ordered(v for v in whole if v[2] is None or v[2] < last[v[0], v[1]])
+
+
+def test_default_runs_cut_open_samples(spark, tmp_path):
+    rows = ticking_readings(1)
+    plant = Plant(spark, tmp_path)
+    wanted = []
+    for part in parts(rows, CUTS):
+        plant.add(part)
+        plant.run()
+        wanted += restated.verdicts(part, {"M1": golden.TEMPLATE})
+    assert plant.verdicts() == ordered(wanted) != ordered(restated.verdicts(rows, {"M1": golden.TEMPLATE}))
+
+
+@pytest.mark.parametrize("seed", (1, 3))
+def test_stream_equals_batch(spark, tmp_path, seed):
+    rows = ticking_readings(seed)
+    templates = as_templates(spark, {"M1": golden.TEMPLATE})
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for part in parts(rows, CUTS):
+        spark.createDataFrame(part, S.LINES).coalesce(1).write.mode("append").parquet(source)
+        query = inspect.inspect_stream(inspect.read_stream(spark, source), templates, out, str(tmp_path / "progress"))
+        query.awaitTermination()
+    last = query.lastProgress["batchId"]
+    assert last == 2
+    inspect.close_open_samples(spark, S.LINES, templates, out, last)
+    whole = restated.verdicts(rows, {"M1": golden.TEMPLATE})
+    assert ordered(inspect.read_verdicts(spark, out).collect()) == ordered(whole)
+
+
+def test_late_rows_of_a_stream_are_left_out(spark, tmp_path):
+    first = [(1, "E1", "M1", "2021-04-23 08:00:00", "0", "0", "0", "0"), (1, "E1", "M1", "2021-04-23 08:00:09", "0", "0", "0", "0")]
+    late = [(2, "E1", "M1", "2021-04-23 08:00:08", "5", "0", "3", "0"), (2, "E1", "M1", "2021-04-23 08:00:09", "5", "0", "3", "0")]
+    templates = as_templates(spark, {"M1": golden.TEMPLATE})
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for part in (first, late):
+        spark.createDataFrame(part, S.LINES).coalesce(1).write.mode("append").parquet(source)
+        query = inspect.inspect_stream(inspect.read_stream(spark, source), templates, out, str(tmp_path / "progress"))
+        query.awaitTermination()
+    inspect.close_open_samples(spark, S.LINES, templates, out, query.lastProgress["batchId"])
+    texts = [r.description for r in inspect.read_verdicts(spark, out).orderBy("datetime").collect()]
+    assert texts == ["少线: 【实际/标准: 1/3】", "少线: 【实际/标准: 2/3】"]
+
+
+@pytest.fixture(scope="module")
+def points(spark):
+    rng = random.Random(0)
+    rows = [(i, [rng.random(), rng.random()]) for i in range(240)]
+    rows = [(i, x, float(x[0] > 0.5), float((x[0] > 0.5) + (x[1] > 0.5))) for i, x in rows]
+    frame = spark.createDataFrame(rows, "id int, x array<double>, two double, three double")
+    return classify.features_from_array(frame, "x").cache()
+
+
+PARAMS = {"maxIter": 3, "maxDepth": 2}
+
+
+def accuracy(scored):
+    return scored.rows.agg(F.avg((F.col("label") == F.col("prediction")).cast("int"))).first()[0]
+
+
+def test_classifier_modes(points, tmp_path):
+    rows = points.withColumnRenamed("two", "label")
+    train, test = classify.hold_out(rows, "id", 0.3, seed=1)
+    assert train.count() + test.count() == 240 and 40 < test.count() < 105
+    assert train.join(test, "id").count() == 0
+    path = str(tmp_path / "model")
+    trained = classify.run_classifier("train", {"train": train}, params=PARAMS, model_path=path)
+    assert trained.rows.count() == train.count()
+    both = classify.run_classifier("trainAndPredict", {"train": train, "test": test}, params=PARAMS)
+    loaded = classify.run_classifier("loadAndPredict", {"test": test}, model_path=path)
+    assert accuracy(both) > 0.9
+    pairs = both.rows.select("id", "prediction").collect()
+    assert sorted(pairs) == sorted(loaded.rows.select("id", "prediction").collect()) and len(pairs) == test.count()
+
+
+def test_more_than_two_classes(points):
+    rows = points.withColumnRenamed("three", "label")
+    assert accuracy(classify.run_classifier("train", {"train": rows}, params=PARAMS, classes=3)) > 0.9
+
+
+def test_feature_columns(points):
+    rows = points.select("id", F.col("x")[0].alias("a"), F.col("x")[1].alias("b"), F.col("two").alias("label"))
+    stages = [classify.features_from_columns(["a", "b"])]
+    assert accuracy(classify.run_classifier("train", {"train": rows}, params=PARAMS, stages=stages)) > 0.9
+
+
+def test_classifier_arguments(points):
+    for mode, frames in (("deploy", {}), ("train", {}), ("trainAndPredict", {"train": points}), ("loadAndPredict", {"test": points})):
+        with pytest.raises(ValueError):
+            classify.run_classifier(mode, frames)
+    with pytest.raises(ValueError):
+        classify.hold_out(points, "id", 1.5)
+
+
+def test_templates_by_name_feed_the_check(spark, tmp_path):
+    (tmp_path / "M1_stdModel.csv").write_text(TEMPLATE_CSV)
+    rows = typed_lines(spark.createDataFrame([r for r in golden.READINGS if r[0] > 0], S.LINES))
+    assert ordered(check(rows, read_templates(spark, str(tmp_path))).collect()) == ordered(golden.VERDICTS)
