@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from linecheck import functions as fn
 from linecheck import schemas as S
 from linecheck.operators.lookup import lookup, on
-from linecheck.operators.measured import fits_one_task, is_small, small_side, written
+from linecheck.operators.measured import is_small, small_side, written
 from linecheck.operators.prepare import starts_sample
 from linecheck.operators.template import MEASURES, template_positions
 from linecheck.operators.timeline import DEFAULT_LIMIT, calm_rows, place, running_start, settled_rows
@@ -51,11 +51,11 @@ def sample_lanes(lines: DataFrame, slot: str | Column = "day", limit: int = DEFA
     all columns, so neither many copies nor many lines of one sample meet in one task.
     """
     lines = lines.select(*S.HISTORY, "datetime", *LINE)
-    if fits_one_task(lines, S.HISTORY, limit):
+    placed = place(lines, S.HISTORY, "datetime", starts_sample(), slot, limit)
+    if placed is None:
         rows = lines.withColumn("sample_ts", running_start(S.HISTORY, "datetime", starts_sample()))
         return [Lane(rows.drop("datetime").distinct(), S.HISTORY, True)]
 
-    placed = place(lines, S.HISTORY, "datetime", starts_sample(), slot, limit)
     home = (*S.HISTORY, "home")
     calm = calm_rows(placed, S.HISTORY, "datetime", starts_sample(), "sample_ts").drop("datetime")
     if placed.settled_samples is None:

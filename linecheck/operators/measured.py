@@ -7,8 +7,6 @@ once and survive the loss of an executor.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,11 +34,3 @@ def small_side(table: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     Otherwise it is left as it is: Spark then shuffles both sides and splits skewed keys.
     """
     return F.broadcast(table) if is_small(table, most) else table
-
-
-def fits_one_task(rows: DataFrame, keys: Sequence[str], limit: int) -> bool:
-    """Whether no group has more than ``limit`` rows; only one number reaches the driver."""
-    if rows.count() <= limit:
-        return True
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"))
-    return sizes.agg(F.max("n")).first()[0] <= limit

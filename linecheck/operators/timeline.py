@@ -3,7 +3,7 @@
 Every row belongs to the sample that the latest marker row at or before its time
 has started. Within one history (a machine and a model, say) that is a running
 maximum of the marker times, one window and one shuffle. That is the plan as long as
-the largest history is one that a task can sort (``limit`` rows, measured).
+a task can sort the largest history (``limit`` rows, measured).
 
 Beyond that, histories are cut into time slots:
 
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linecheck.operators.lookup import lookup, on
-from linecheck.operators.measured import fits_one_task, small_side, written
+from linecheck.operators.measured import is_small, small_side, written
 
 DEFAULT_LIMIT = 2_000_000
 
@@ -73,25 +73,6 @@ def running_start(keys: Sequence[str], time: str, marker: Column) -> Column:
     return F.max(F.when(marker, F.col(time))).over(so_far)
 
 
-def calm_rows(
-    placed: Placed, keys: Sequence[str], time: str, marker: Column, start: str, homes: DataFrame | None = None
-) -> DataFrame:
-    """The rows that are not settled, with their start, partitioned by (history, home).
-
-    With ``homes`` only the rows of these homes.
-    """
-    rows = placed.rows.where(~F.col("settled"))
-    if homes is not None:
-        rows = lookup(rows, homes, on([*keys, "home"]), "left_semi")
-    window = running_start([*keys, "home"], time, marker)
-    rows = rows.withColumn(start, F.when(F.col("own"), window).otherwise(F.col("known_start")))
-    return rows.drop("own", "known_start", "settled")
-
-
-def settled_rows(placed: Placed, start: str) -> DataFrame:
-    return placed.rows.where("settled").withColumnRenamed("known_start", start).drop("own", "settled", "home")
-
-
 def _facts(rows: DataFrame, keys: Sequence[str], slot: Column, time: str, marker: Column) -> DataFrame:
     mark = F.when(marker, F.col(time))
     return rows.groupBy(*keys, slot.alias("slot")).agg(
@@ -103,9 +84,16 @@ def _facts(rows: DataFrame, keys: Sequence[str], slot: Column, time: str, marker
 
 def slot_table(
     rows: DataFrame, keys: Sequence[str], time: str, marker: Column, slot: Column, limit: int
-) -> tuple[DataFrame, DataFrame | None]:
-    """The slots of every history, and the slots that had to be cut at every time."""
+) -> tuple[DataFrame, DataFrame | None] | None:
+    """The slots of every history, and the slots that had to be cut at every time.
+
+    None if no history has more than ``limit`` rows.
+    """
     wide = written(_facts(rows, keys, slot, time, marker), "slots")
+    histories = wide.groupBy(*keys).agg(F.sum("slot_rows").alias("history_rows"))
+    if histories.where(F.col("history_rows") > limit).isEmpty():
+        return None
+
     crowded = wide.where(F.col("slot_rows") > limit).select(*keys, F.col("slot").alias("wide_slot"))
     slots = wide.withColumn("single_time", F.lit(False))
     if crowded.isEmpty():
@@ -133,11 +121,19 @@ def slot_table(
 
 
 def place(
-    rows: DataFrame, keys: Sequence[str], time: str, marker: Column, slot: str | Column, limit: int
-) -> Placed:
-    """Tell every row the slot in which its sample started."""
-    slot = slot_of(rows, time, slot)
-    slots, crowded = slot_table(rows, keys, time, marker, slot, limit)
+    rows: DataFrame, keys: Sequence[str], time: str, marker: Column, width: str | Column, limit: int
+) -> Placed | None:
+    """Tell every row the slot in which its sample started.
+
+    None if there is no need to, because a task can sort the largest history.
+    """
+    if is_small(rows, limit):
+        return None
+    slot = slot_of(rows, time, width)
+    tables = slot_table(rows, keys, time, marker, slot, limit)
+    if tables is None:
+        return None
+    slots, crowded = tables
     marked_slot = F.when(F.col("first_mark").isNotNull(), F.col("slot")).otherwise(F.col("carried_slot"))
     settled = slots.where("settled").select(*keys, "slot_sample", marked_slot.alias("home")).distinct()
 
@@ -159,6 +155,25 @@ def place(
     return Placed(placed, None if settled.isEmpty() else settled)
 
 
+def calm_rows(
+    placed: Placed, keys: Sequence[str], time: str, marker: Column, start: str, homes: DataFrame | None = None
+) -> DataFrame:
+    """The rows that are not settled, with their start, partitioned by (history, home).
+
+    With ``homes`` only the rows of these homes.
+    """
+    rows = placed.rows.where(~F.col("settled"))
+    if homes is not None:
+        rows = lookup(rows, homes, on([*keys, "home"]), "left_semi")
+    window = running_start([*keys, "home"], time, marker)
+    rows = rows.withColumn(start, F.when(F.col("own"), window).otherwise(F.col("known_start")))
+    return rows.drop("own", "known_start", "settled")
+
+
+def settled_rows(placed: Placed, start: str) -> DataFrame:
+    return placed.rows.where("settled").withColumnRenamed("known_start", start).drop("own", "settled", "home")
+
+
 def segment(
     rows: DataFrame,
     keys: Sequence[str],
@@ -170,9 +185,9 @@ def segment(
     limit: int = DEFAULT_LIMIT,
 ) -> DataFrame:
     """All rows, each with the start time of its sample (null before the first marker)."""
-    if fits_one_task(rows, keys, limit):
-        return rows.withColumn(start, running_start(keys, time, marker))
     placed = place(rows, keys, time, marker, slot, limit)
+    if placed is None:
+        return rows.withColumn(start, running_start(keys, time, marker))
     columns = [*rows.columns, start]
     calm = calm_rows(placed, keys, time, marker, start).select(*columns)
     if placed.settled_samples is None:

@@ -194,7 +194,7 @@ def open_samples(spark: SparkSession, folder: str) -> DataFrame:
 
 def closed_rows(spark: SparkSession, folder: str) -> DataFrame:
     rows = inputs.readings(spark, folder)
-    closed, _ = increments.withheld(rows, increments.open_from(rows))
+    closed, _ = increments.withheld(rows, written(increments.open_from(rows), "open"))
     return closed.groupBy("equipmentid", "mcid").agg(F.count("*").alias("n_rows"))
 
 

@@ -44,10 +44,6 @@ VERDICTS = T.StructType(
     ]
 )
 
-OPEN_SAMPLES = T.StructType(
-    [T.StructField(name, T.StringType()) for name in ("equipmentid", "mcid", "open_from", "closes")]
-)
-
 # Verdict codes.
 QUALIFIED, OUT_OF_TOLERANCE, LINES_MISSING = 0, 1, 2
 
