@@ -43,7 +43,7 @@ class Lane(NamedTuple):
     bounded: bool
 
 
-def sample_lanes(lines: DataFrame, slot: str | Column = "day", limit: int = DEFAULT_LIMIT) -> list[Lane]:
+def sample_lanes(lines: DataFrame, slot: str | Column = "day", limit: int | None = DEFAULT_LIMIT) -> list[Lane]:
     """Distinct lines per sample, the whole of every sample in one lane.
 
     Normally there is one lane. Samples so large that their rows skipped the window
@@ -73,7 +73,7 @@ def sample_lanes(lines: DataFrame, slot: str | Column = "day", limit: int = DEFA
     ]
 
 
-def sample_sizes(lines: DataFrame, *, slot: str | Column = "day", limit: int = DEFAULT_LIMIT) -> DataFrame:
+def sample_sizes(lines: DataFrame, *, slot: str | Column = "day", limit: int | None = DEFAULT_LIMIT) -> DataFrame:
     """Number of distinct lines of every sample."""
     sizes = [
         lane.lines.groupBy(*dict.fromkeys([*lane.owner, *SAMPLE]))
@@ -123,7 +123,7 @@ def _steps(lane: Lane, lines: DataFrame) -> DataFrame:
     )
 
 
-def _compared(lines: DataFrame, templates: DataFrame, slot: str | Column, limit: int) -> list[Lane]:
+def _compared(lines: DataFrame, templates: DataFrame, slot: str | Column, limit: int | None) -> list[Lane]:
     """Lines joined to the template line of their position, lane by lane."""
     std = template_positions(templates).drop("line")
     if is_small(templates):
@@ -144,7 +144,7 @@ def _compared(lines: DataFrame, templates: DataFrame, slot: str | Column, limit:
 
 
 def full_samples(
-    lines: DataFrame, templates: DataFrame, *, slot: str | Column = "day", limit: int = DEFAULT_LIMIT
+    lines: DataFrame, templates: DataFrame, *, slot: str | Column = "day", limit: int | None = DEFAULT_LIMIT
 ) -> DataFrame:
     """Every line of the samples that have as many lines as their template.
 
@@ -170,7 +170,7 @@ def _code() -> Column:
 
 
 def _per_sample(
-    lines: DataFrame, templates: DataFrame, slot: str | Column, limit: int, values: list[Column]
+    lines: DataFrame, templates: DataFrame, slot: str | Column, limit: int | None, values: list[Column]
 ) -> DataFrame:
     frames = [
         lane.lines.groupBy(*dict.fromkeys([*lane.owner, *SAMPLE]), "n_lines", "n_std").agg(*values)
@@ -180,7 +180,7 @@ def _per_sample(
 
 
 def sample_codes(
-    lines: DataFrame, templates: DataFrame, *, slot: str | Column = "day", limit: int = DEFAULT_LIMIT
+    lines: DataFrame, templates: DataFrame, *, slot: str | Column = "day", limit: int | None = DEFAULT_LIMIT
 ) -> DataFrame:
     """Verdict code and number of lines of every sample."""
     checked = _per_sample(lines, templates, slot, limit, [_code().alias("code")])
@@ -193,12 +193,12 @@ def check(
     *,
     decimals: int = 2,
     slot: str | Column = "day",
-    limit: int = DEFAULT_LIMIT,
+    limit: int | None = DEFAULT_LIMIT,
 ) -> DataFrame:
     """Verdicts (equipmentid, mcid, datetime, code, description) of typed lines.
 
     ``limit`` is the number of rows a task may have to sort. Where a history has more, it is
-    cut into slots of the given width, see ``timeline``.
+    cut into slots of the given width, see ``timeline``. None skips the measurement.
     """
     failed = (F.col("n_lines") == F.col("n_std")) & F.col("bad")
     text = fn.line_text(F.col("line"), F.col("lead_offset"), F.col("pad_offset"), decimals)

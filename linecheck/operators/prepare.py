@@ -27,7 +27,7 @@ def typed_lines(raw: DataFrame) -> DataFrame:
     )
 
 
-def prepare(raw: DataFrame, *, slot: str | Column = "day", limit: int = DEFAULT_LIMIT) -> DataFrame:
+def prepare(raw: DataFrame, *, slot: str | Column = "day", limit: int | None = DEFAULT_LIMIT) -> DataFrame:
     """Typed lines with the start time of their sample in ``sample_ts``.
 
     A sample is known by (equipmentid, mcid, sample_ts), not by one packed text. Rows

@@ -121,13 +121,14 @@ def slot_table(
 
 
 def place(
-    rows: DataFrame, keys: Sequence[str], time: str, marker: Column, width: str | Column, limit: int
+    rows: DataFrame, keys: Sequence[str], time: str, marker: Column, width: str | Column, limit: int | None
 ) -> Placed | None:
     """Tell every row the slot in which its sample started.
 
-    None if there is no need to, because a task can sort the largest history.
+    None if there is no need to, because a task can sort the largest history. With no limit
+    the caller vouches for that, and nothing is measured.
     """
-    if is_small(rows, limit):
+    if limit is None or is_small(rows, limit):
         return None
     slot = slot_of(rows, time, width)
     tables = slot_table(rows, keys, time, marker, slot, limit)
@@ -182,7 +183,7 @@ def segment(
     *,
     start: str = "sample_ts",
     slot: str | Column = "day",
-    limit: int = DEFAULT_LIMIT,
+    limit: int | None = DEFAULT_LIMIT,
 ) -> DataFrame:
     """All rows, each with the start time of its sample (null before the first marker)."""
     placed = place(rows, keys, time, marker, slot, limit)

@@ -188,6 +188,65 @@ def cutoff_rows(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("linenmb", "equipmentid", "datetime")
 
 
+def number_texts(spark: SparkSession, folder: str) -> DataFrame:
+    price, tax = F.col("l_extendedprice") / 7, F.col("l_tax") / 8
+    rows = inputs.table(spark, folder, "lineitem")
+    rows = rows.select(fn.fixed_decimals(price).alias("price"), fn.fixed_decimals(tax, 3).alias("tax"))
+    return rows.groupBy("price", "tax").agg(F.count("*").alias("n_rows"))
+
+
+def url_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return inputs.table(spark, folder, "pages").select("page_id", fn.suffix(F.col("url")).alias("suffix"))
+
+
+def packed_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Machine, model and time in one text, with the parts taken out again."""
+    rows = inputs.readings(spark, folder).select(
+        fn.joined([F.col("equipmentid"), F.col("mcid"), F.col("datetime")]).alias("packed")
+    )
+    parts = F.split("packed", "_")
+    rows = rows.select("packed", parts[0].alias("equipmentid"), parts[1].alias("mcid"))
+    return rows.groupBy("packed", "equipmentid", "mcid").agg(F.count("*").alias("n_rows"))
+
+
+def later_times(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest time of every machine, but not before the mark."""
+    rows = inputs.readings(spark, folder).groupBy("equipmentid").agg(F.max("datetime").alias("datetime"))
+    mark = F.lit(inputs.MARK).cast("timestamp_ntz")
+    return rows.select("equipmentid", fn.later(F.col("datetime"), mark).alias("datetime"))
+
+
+def point_states(spark: SparkSession, folder: str) -> DataFrame:
+    """Distance between the two points of a reading, its deviation from 50, and whether that is above 20."""
+    rows = inputs.lines(spark, folder)
+    apart = fn.distance(F.col("leadx"), F.col("leady"), F.col("padx"), F.col("pady"))
+    rows = rows.select("equipmentid", "datetime", "linenmb", apart.alias("apart"))
+    rows = rows.withColumn("offset", fn.deviation(F.col("apart"), F.lit(50.0)))
+    return rows.withColumn("state", fn.out_of_tolerance(F.col("offset"), F.lit(20.0)).cast("int"))
+
+
+def verdict_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes as the two texts of a report, counted."""
+    rows = sample_codes(spark, folder)
+    rows = rows.select("code", fn.result_text(F.col("code")).alias("result"), fn.code_text(F.col("code")).alias("text"))
+    return rows.groupBy("code", "result", "text").agg(F.count("*").alias("samples"))
+
+
+def withheld_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdicts of two runs, the second starting with the open samples of the first."""
+    rows = inputs.readings(spark, folder)
+    templates = inputs.templates(spark, folder)
+
+    def run(part: DataFrame) -> tuple[DataFrame, DataFrame]:
+        part = written(part, "rows")
+        return increments.withheld(part, written(increments.open_from(part), "open"))
+
+    closed, still_open = run(rows.where(F.col("datetime") <= F.lit(inputs.MARK)))
+    later, rest = run(still_open.unionByName(increments.since(rows, inputs.MARK)))
+    parts = [checks.check(typed_lines(part), templates) for part in (closed, later, rest)]
+    return stacking.stack_by_name(parts)
+
+
 def open_samples(spark: SparkSession, folder: str) -> DataFrame:
     return increments.open_from(inputs.readings(spark, folder))
 
@@ -290,8 +349,15 @@ QUERIES: dict[str, Query] = {
         keyed_upsert,
         keyed_update,
         cutoff_rows,
+        number_texts,
+        url_suffixes,
+        packed_ids,
+        later_times,
+        point_states,
+        verdict_texts,
         open_samples,
         closed_rows,
+        withheld_runs,
         template_files,
         csv_scan,
         json_scan,

@@ -5,9 +5,9 @@ from __future__ import annotations
 from linecheck.queries.inputs import MARK, TEMPLATE_LINES
 
 
-def two_decimals(number: str) -> str:
+def fixed(number: str, places: int) -> str:
     """Text rounded half up on the shortest decimal form; ``printf`` would round the binary value."""
-    return f"round({number}::varchar::decimal(38, 17), 2)::decimal(38, 2)::varchar"
+    return f"round(({number})::varchar::decimal(38, 18), {places})::decimal(38, {places})::varchar"
 
 
 READINGS = """
@@ -80,8 +80,8 @@ verdicts as (
          case when n_lines < n_std then 2 when bool_or(bad) then 1 else 0 end as code,
          case when n_lines < n_std then '少线: 【实际/标准: ' || n_lines || '/' || n_std || '】'
               when bool_or(bad) then
-                string_agg('lineNmb' || line || '_leadOffset_' || {two_decimals("lead_offset")}
-                           || '_padOffset_' || {two_decimals("pad_offset")}, '|' order by pos) filter (where bad)
+                string_agg('lineNmb' || line || '_leadOffset_' || {fixed("lead_offset", 2)}
+                           || '_padOffset_' || {fixed("pad_offset", 2)}, '|' order by pos) filter (where bad)
               else 'qualified' end as description
   from compared
   group by equipmentid, mcid, sample_ts, n_lines, n_std)"""
@@ -223,6 +223,27 @@ ORACLE: dict[str, str] = {
         from customer""",
     "cutoff_rows": f"""with {READINGS}
         select linenmb, equipmentid, datetime from readings where datetime >= timestamp '1997-05-20 00:00:00'""",
+    "number_texts": f"""
+        select price, tax, count(*) as n_rows
+        from (select {fixed("l_extendedprice / 7", 2)} as price, {fixed("l_tax / 8", 3)} as tax from lineitem)
+        group by price, tax""",
+    "url_suffixes": "select page_id, regexp_replace(url, '.*\\.', '') as suffix from pages",
+    "packed_ids": f"""with {READINGS}
+        select equipmentid || '_' || mcid || '_' || datetime::varchar as packed, equipmentid, mcid, count(*) as n_rows
+        from readings group by equipmentid, mcid, datetime""",
+    "later_times": f"""with {READINGS}
+        select equipmentid, greatest(max(datetime), timestamp '{MARK}') as datetime from readings group by equipmentid""",
+    "point_states": f"""with {READINGS},
+        measured as (
+          select equipmentid, datetime, linenmb,
+                 sqrt((leadx - padx) * (leadx - padx) + (leady - pady) * (leady - pady)) as apart
+          from readings)
+        select *, abs(50 - apart) as "offset", (abs(50 - apart) > 20)::int as state from measured""",
+    "verdict_texts": f"""{VERDICTS}
+        select code, case when code in (1, 2) then 'NG' else 'OK' end as result,
+               case code when 1 then '不合格' when 2 then '缺线' else '正常' end as text, count(*) as samples
+        from verdicts group by code""",
+    "withheld_runs": f"{VERDICTS} select * from verdicts",
     "open_samples": f"with {READINGS}, {OPEN_SAMPLES} select * from open_samples",
     "closed_rows": f"""with {READINGS}, {OPEN_SAMPLES}
         select equipmentid, mcid, count(*) as n_rows
