@@ -9,6 +9,7 @@ import golden
 import restated
 from linecheck import schemas as S
 from linecheck.operators import check as checks
+from linecheck.operators import timeline
 from linecheck.operators.prepare import prepare, typed_lines
 from linecheck.operators.template import missing_templates, template_positions, template_table
 from linecheck.operators.timeline import segment
@@ -193,6 +194,24 @@ def test_large_templates_are_not_broadcast(spark, monkeypatch):
     assert found(spark, raw, BY_MODEL) == ordered(restated.verdicts(raw, BY_MODEL))
 
 
+@pytest.mark.parametrize("limit", (20, 4))
+def test_large_tables_of_slots_are_not_broadcast(spark, monkeypatch, limit):
+    for module in (timeline, checks):
+        monkeypatch.setattr(module, "small_side", lambda table: table)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        raw = uneven_readings()
+        assert found(spark, raw, BY_MODEL, limit=limit) == ordered(restated.verdicts(raw, BY_MODEL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_without_limit_nothing_is_measured(spark, monkeypatch):
+    monkeypatch.setattr(timeline, "is_small", None)
+    raw = random_readings(8)
+    assert found(spark, raw, BY_MODEL, limit=None) == ordered(restated.verdicts(raw, BY_MODEL))
+
+
 def test_times_of_a_number_need_a_slot(spark):
     frame = spark.createDataFrame([("a", i, i % 3 == 0) for i in range(20)], "k string, t int, m boolean")
     with pytest.raises(ValueError):

@@ -13,7 +13,7 @@ from linecheck.operators import increments, report, stacking
 from linecheck.operators.check import check
 from linecheck.operators.prepare import listed_models, typed_lines
 from linecheck.plans import classify
-from linecheck.plans.inspection import Settings, run_inspection
+from linecheck.plans.inspection import Settings, read_settings, run_inspection
 from linecheck.sources.files import read_mark, read_templates
 from linecheck.streaming import inspect
 from test_check import as_templates, ordered
@@ -265,3 +265,14 @@ def test_templates_by_name_feed_the_check(spark, tmp_path):
     (tmp_path / "M1_stdModel.csv").write_text(TEMPLATE_CSV)
     rows = typed_lines(spark.createDataFrame([r for r in golden.READINGS if r[0] > 0], S.LINES))
     assert ordered(check(rows, read_templates(spark, str(tmp_path))).collect()) == ordered(golden.VERDICTS)
+
+
+def test_settings_from_a_file(spark, tmp_path):
+    names = ("readings", "templates", "model_list", "equipment", "verdicts", "reports", "mark")
+    text = "# paths\n" + "".join(f"{name} = /data/{name}\n" for name in names) + "\ndecimals=3\nwithhold_open=true\n"
+    (tmp_path / "s").write_text(text)
+    settings = read_settings(spark, str(tmp_path / "s"))
+    assert settings.mark == "/data/mark" and settings.decimals == 3 and settings.withhold_open is True
+    (tmp_path / "t").write_text(text + "password=x\n")
+    with pytest.raises(ValueError, match="password"):
+        read_settings(spark, str(tmp_path / "t"))
