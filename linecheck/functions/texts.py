@@ -32,14 +32,12 @@ def fixed_decimals(number: Column, decimals: int = 2) -> Column:
 
 
 def line_text(line: Column, lead_offset: Column, pad_offset: Column, decimals: int = 2) -> Column:
-    # Fixed value: the pattern of the text.
-    pattern = f"lineNmb%d_leadOffset_%.{decimals}f_padOffset_%.{decimals}f"
+    pattern = S.LINE_TEXT.format(offset=f"%.{decimals}f")
     return F.format_string(pattern, line, lead_offset, pad_offset)
 
 
 def missing_lines_text(found: Column, wanted: Column) -> Column:
-    # Fixed value: the pattern of the text.
-    return F.format_string("少线: 【实际/标准: %d/%d】", found, wanted)
+    return F.format_string(S.MISSING_TEXT, found, wanted)
 
 
 def _choice(code: Column, texts: dict[int, str]) -> Column:

@@ -207,8 +207,8 @@ def check(
     checked = _per_sample(lines, templates, slot, limit, [_code().alias("code"), failures.alias("failures")])
     description = (
         F.when(F.col("code") == S.LINES_MISSING, fn.missing_lines_text(F.col("n_lines"), F.col("n_std")))
-        .when(F.col("code") == S.OUT_OF_TOLERANCE, F.concat_ws("|", in_order))
-        .otherwise("qualified")
+        .when(F.col("code") == S.OUT_OF_TOLERANCE, F.concat_ws(S.LINE_DELIMITER, in_order))
+        .otherwise(S.QUALIFIED_TEXT)
     )
     return checked.select(
         "equipmentid", "mcid", F.col("sample_ts").alias("datetime"), "code", description.alias("description")

@@ -261,7 +261,7 @@ def template_files(spark: SparkSession, folder: str) -> DataFrame:
     """Templates written per model under its file name, all read back in one pass."""
     path = fresh_path(spark, "templates")
     rows = inputs.template_rows(spark, folder)
-    rows = rows.withColumn("file", F.concat("model_key", F.lit(files.TEMPLATE_SUFFIX))).drop("model_key")
+    rows = rows.withColumn("file", F.concat("model_key", F.lit(S.TEMPLATE_SUFFIX))).drop("model_key")
     rows.repartition("file").write.partitionBy("file").option("header", True).csv(path)
     return files.read_templates(spark, path)
 

@@ -33,12 +33,13 @@ def _model() -> Column:
 
 
 def readings(spark: SparkSession, folder: str) -> DataFrame:
-    suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
+    suppliers = table(spark, folder, "supplier")
+    suppliers = suppliers.select("s_suppkey", _machine().alias("equipmentid"), _model().alias("mcid"))
     lines = table(spark, folder, "lineitem")
     return lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).select(
         F.col("l_linenumber").alias("linenmb"),
-        _machine().alias("equipmentid"),
-        _model().alias("mcid"),
+        "equipmentid",
+        "mcid",
         F.col("l_shipdate").alias("datetime"),
         F.col("l_quantity").alias("leadx"),
         (F.col("l_extendedprice") / 1000).alias("leady"),

@@ -52,6 +52,13 @@ ALERT_COLUMNS = ("盒子编码", "机型", "对比结果", "时间", "一级详
 RESULT_TEXT = {QUALIFIED: "OK", OUT_OF_TOLERANCE: "NG", LINES_MISSING: "NG"}
 CODE_TEXT = {QUALIFIED: "正常", OUT_OF_TOLERANCE: "不合格", LINES_MISSING: "缺线"}
 
+# Patterns of the descriptions, and the end of a template's file name.
+QUALIFIED_TEXT = "qualified"
+MISSING_TEXT = "少线: 【实际/标准: %d/%d】"
+LINE_TEXT = "lineNmb%d_leadOffset_{offset}_padOffset_{offset}"
+LINE_DELIMITER = "|"
+TEMPLATE_SUFFIX = "_stdModel.csv"
+
 # Type names accepted when a keyed table is created.
 TYPE_NAMES = {
     "int": T.IntegerType(),

@@ -16,7 +16,6 @@ def spark(tmp_path_factory):
         "linecheck-tests",
         **{
             "spark.sql.shuffle.partitions": "4",
-            "spark.checkpoint.dir": str(root / "shared"),
             "spark.sql.warehouse.dir": str(root / "warehouse"),
             "spark.sql.legacy.javaCharsets": "true",
         },

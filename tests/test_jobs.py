@@ -276,3 +276,26 @@ def test_settings_from_a_file(spark, tmp_path):
     (tmp_path / "t").write_text(text + "password=x\n")
     with pytest.raises(ValueError, match="password"):
         read_settings(spark, str(tmp_path / "t"))
+
+
+def test_job_without_any_template(spark, tmp_path):
+    plant = Plant(spark, tmp_path)
+    plant.settings = replace(plant.settings, templates=str(tmp_path / "none"))
+    plant.add(golden.READINGS)
+    outcome = plant.run()
+    assert outcome.upto and outcome.verdicts.collect() == [] and outcome.alerts.collect() == []
+    assert {r.model_key for r in outcome.missing_templates.collect()} == {"M1", "M2"}
+
+
+def test_repeated_micro_batch_changes_nothing(spark, tmp_path):
+    rows = ticking_readings(4)
+    templates = as_templates(spark, {"M1": golden.TEMPLATE})
+    out = str(tmp_path / "out")
+    step = inspect.step(out, templates, None)
+    for number, part in enumerate(parts(rows, CUTS)):
+        batch = spark.createDataFrame(part, S.LINES)
+        step(batch, number)
+        step(batch, number)
+    inspect.close_open_samples(spark, S.LINES, templates, out, 2)
+    whole = restated.verdicts(rows, {"M1": golden.TEMPLATE})
+    assert ordered(inspect.read_verdicts(spark, out).collect()) == ordered(whole)
