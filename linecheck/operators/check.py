@@ -62,7 +62,7 @@ def sample_lanes(lines: DataFrame, slot: str | Column = "day", limit: int | None
         return [Lane(calm.distinct(), home, True)]
 
     large = small_side(placed.settled_samples)
-    pairs = [*on(S.HISTORY), ("sample_ts", "slot_sample")]
+    pairs = [*on(S.HISTORY), ("sample_ts", "known_start")]
     beside = calm_rows(placed, S.HISTORY, "datetime", starts_sample(), "sample_ts", large)
     columns = [*SAMPLE, *LINE]
     busy = settled_rows(placed, "sample_ts").select(*columns)

@@ -8,8 +8,8 @@ a task can sort the largest history (``limit`` rows, measured).
 Beyond that, histories are cut into time slots:
 
 1. ``slot_table`` counts rows and marker times per history and slot. A slot is a
-   day, say; one with more than ``limit`` rows is cut at every distinct time. The slots
-   of a history are few, and a window over them carries the last marker forward.
+   day, say; one with more than ``limit`` rows is cut at every distinct time. A window over
+   the slots of a history, and one over the times of a cut slot, carry the last marker on.
 2. ``place`` joins that table to the rows and tells every row its *home*: the slot in
    which its sample started. All rows of one sample share one home.
 3. ``segment`` takes the running maximum within (history, home), again one shuffle.
@@ -28,12 +28,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import WindowSpec
 
 from linecheck.operators.lookup import lookup, on
 from linecheck.operators.measured import is_small, small_side, written
 
 DEFAULT_LIMIT = 2_000_000
 
+# Slots are broadcast up to this number; at some 300 bytes each that is 600 MB.
+SLOT_ROWS = 2_000_000
+
 
 @dataclass(frozen=True)
 class Placed:
@@ -82,42 +86,90 @@ def _facts(rows: DataFrame, keys: Sequence[str], slot: Column, time: str, marker
     )
 
 
-def slot_table(
+def _before(keys: Sequence[str]) -> WindowSpec:
+    return Window.partitionBy(*keys).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _carried(
     rows: DataFrame, keys: Sequence[str], time: str, marker: Column, slot: Column, limit: int
 ) -> tuple[DataFrame, DataFrame | None] | None:
-    """The slots of every history, and the slots that had to be cut at every time.
-
-    None if no history has more than ``limit`` rows.
-    """
-    wide = written(_facts(rows, keys, slot, time, marker), "slots")
-    histories = wide.groupBy(*keys).agg(F.sum("slot_rows").alias("history_rows"))
+    """Slots with the last marker before them and its home; the slots cut at every time."""
+    facts = written(_facts(rows, keys, slot, time, marker), "slots")
+    histories = facts.groupBy(*keys).agg(F.sum("slot_rows").alias("history_rows"))
     if histories.where(F.col("history_rows") > limit).isEmpty():
         return None
 
-    crowded = wide.where(F.col("slot_rows") > limit).select(*keys, F.col("slot").alias("wide_slot"))
-    slots = wide.withColumn("single_time", F.lit(False))
-    if crowded.isEmpty():
-        crowded = None
-    else:
-        crowded = small_side(crowded)
-        inside = lookup(rows.withColumn("wide_slot", slot), crowded, on([*keys, "wide_slot"]), "left_semi")
-        narrow = _facts(inside, keys, F.col(time), time, marker)
-        slots = slots.where(F.col("slot_rows") <= limit).unionByName(narrow.withColumn("single_time", F.lit(True)))
+    # The home of a marker in a slot that is cut is the marker's own time.
+    crowded = F.col("slot_rows") > limit
+    last_home = F.when(crowded, F.col("last_mark")).otherwise(F.col("slot"))
+    last_home = F.when(F.col("last_mark").isNotNull(), last_home)
+    wide = facts.select(
+        *keys,
+        "slot",
+        "slot_rows",
+        "first_mark",
+        F.max("last_mark").over(_before(keys)).alias("carried"),
+        F.max(last_home).over(_before(keys)).alias("carried_home"),
+    )
+    slots = wide.where(~crowded).withColumn("single_time", F.lit(False))
+    cut = wide.where(crowded).select(*keys, F.col("slot").alias("wide_slot"), "carried", "carried_home")
+    if cut.isEmpty():
+        return slots, None
+
+    cut = small_side(written(cut, "cut"))
+    inside = lookup(rows.withColumn("wide_slot", slot), cut, on([*keys, "wide_slot"]), "left_semi")
+    narrow = _facts(inside, [*keys, "wide_slot"], F.col(time), time, marker)
+    narrow = narrow.withColumn("inner_mark", F.max("last_mark").over(_before([*keys, "wide_slot"])))
+    narrow = lookup(narrow, cut, on([*keys, "wide_slot"]), "inner", ["carried", "carried_home"]).select(
+        *keys,
+        "slot",
+        "slot_rows",
+        "first_mark",
+        F.coalesce("inner_mark", "carried").alias("carried"),
+        F.coalesce("inner_mark", "carried_home").alias("carried_home"),
+        F.lit(True).alias("single_time"),
+    )
+    return slots.unionByName(narrow), cut.select(*keys, "wide_slot")
+
+
+def slot_table(
+    rows: DataFrame, keys: Sequence[str], time: str, marker: Column, slot: Column, limit: int
+) -> tuple[DataFrame, DataFrame | None, DataFrame | None] | None:
+    """The slots of every history, those cut at every time, and the settled samples.
 
-    earlier = Window.partitionBy(*keys).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    None if no history has more than ``limit`` rows. Of a slot the rows from ``own_from`` on
+    have their home in it; all others start at ``known_start`` and have ``known_home``.
+    """
+    carried = _carried(rows, keys, time, marker, slot, limit)
+    if carried is None:
+        return None
+    slots, cut = carried
     marked = F.col("first_mark").isNotNull()
+    slots = written(slots.withColumn("one_sample", F.col("single_time") | ~marked), "carried").withColumn(
+        "slot_sample", F.when(F.col("one_sample"), F.coalesce("first_mark", "carried"))
+    )
+    marked_home = F.when(marked, F.col("slot")).otherwise(F.col("carried_home"))
+    loads = slots.where("one_sample").groupBy(*keys, F.col("slot_sample").alias("known_start"))
+    loads = loads.agg(F.sum("slot_rows").alias("load"), F.max(marked_home).alias("home"))
+    settled = loads.where(F.col("load") > limit).select(*keys, "known_start", "home")
+    if settled.isEmpty():
+        settled = None
+        slots = slots.withColumn("settled", F.lit(False))
+    else:
+        settled = small_side(written(settled, "settled"))
+        pairs = [*on(keys), ("slot_sample", "known_start")]
+        slots = lookup(slots, settled.withColumn("found", F.lit(True)), pairs, "left", ["found"])
+        slots = slots.withColumn("settled", F.col("one_sample") & F.coalesce("found", F.lit(False)))
+    is_settled = F.col("settled")
     slots = slots.select(
         *keys,
         "slot",
-        "slot_rows",
-        "first_mark",
-        F.max("last_mark").over(earlier).alias("carried"),
-        F.max(F.when(marked, F.col("slot"))).over(earlier).alias("carried_slot"),
-        (F.col("single_time") | ~marked).alias("one_sample"),
-    ).withColumn("slot_sample", F.when(F.col("one_sample"), F.coalesce("first_mark", "carried")))
-    load = F.sum("slot_rows").over(Window.partitionBy(*keys, "one_sample", "slot_sample"))
-    slots = slots.withColumn("settled", F.col("one_sample") & (load > limit))
-    return written(slots.drop("slot_rows", "one_sample"), "homes"), crowded
+        F.when(~is_settled, F.col("first_mark")).alias("own_from"),
+        F.when(is_settled, F.col("slot_sample")).otherwise(F.col("carried")).alias("known_start"),
+        F.when(is_settled, marked_home).otherwise(F.col("carried_home")).alias("known_home"),
+        "settled",
+    )
+    return written(slots, "homes"), cut, settled
 
 
 def place(
@@ -134,26 +186,23 @@ def place(
     tables = slot_table(rows, keys, time, marker, slot, limit)
     if tables is None:
         return None
-    slots, crowded = tables
-    marked_slot = F.when(F.col("first_mark").isNotNull(), F.col("slot")).otherwise(F.col("carried_slot"))
-    settled = slots.where("settled").select(*keys, "slot_sample", marked_slot.alias("home")).distinct()
-
+    slots, crowded, settled = tables
     cut = rows.withColumn("row_slot", slot)
     if crowded is not None:
         crowded = crowded.withColumn("crowded", F.lit(True))
         cut = lookup(cut, crowded, [*on(keys), ("row_slot", "wide_slot")], "left", ["crowded"])
         cut = cut.withColumn("row_slot", F.when(F.col("crowded"), F.col(time)).otherwise(F.col("row_slot")))
-    facts = ["slot", "first_mark", "carried", "carried_slot", "slot_sample", "settled"]
-    placed = lookup(cut, small_side(slots), [*on(keys), ("row_slot", "slot")], "inner", facts)
-    own = F.coalesce(F.col(time) >= F.col("first_mark"), F.lit(False)) & ~F.col("settled")
+    facts = ["slot", "own_from", "known_start", "known_home", "settled"]
+    placed = lookup(cut, small_side(slots, SLOT_ROWS), [*on(keys), ("row_slot", "slot")], "inner", facts)
+    own = F.coalesce(F.col(time) >= F.col("own_from"), F.lit(False))
     placed = placed.withColumn("own", own).select(
         *rows.columns,
-        F.when(F.col("own"), F.col("slot")).otherwise(F.col("carried_slot")).alias("home"),
-        F.when(F.col("settled"), F.col("slot_sample")).otherwise(F.col("carried")).alias("known_start"),
+        F.when(F.col("own"), F.col("slot")).otherwise(F.col("known_home")).alias("home"),
+        "known_start",
         "own",
         "settled",
     )
-    return Placed(placed, None if settled.isEmpty() else settled)
+    return Placed(placed, settled)
 
 
 def calm_rows(

@@ -197,7 +197,7 @@ def test_large_templates_are_not_broadcast(spark, monkeypatch):
 @pytest.mark.parametrize("limit", (20, 4))
 def test_large_tables_of_slots_are_not_broadcast(spark, monkeypatch, limit):
     for module in (timeline, checks):
-        monkeypatch.setattr(module, "small_side", lambda table: table)
+        monkeypatch.setattr(module, "small_side", lambda table, most=0: table)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         raw = uneven_readings()
