@@ -113,7 +113,7 @@ def test_whole_job(spark, tmp_path):
     assert plant.verdicts() == ordered(golden.VERDICTS) == ordered(outcome.verdicts.collect())
     assert [r.model_key for r in outcome.missing_templates.collect()] == ["M2"]
     assert outcome.alerts.count() == 4
-    lines = spark.read.text(f"{plant.settings.reports}/20210423080012").collect()
+    lines = spark.read.text(f"{plant.settings.reports}/run=19700101000000").collect()
     assert len(lines) == 4 and all(r.value.startswith("(E1,M 1#1,NG,") for r in lines)
 
     assert plant.run().upto is None and plant.verdicts() == ordered(golden.VERDICTS)
@@ -123,14 +123,23 @@ def test_whole_job(spark, tmp_path):
     assert plant.verdicts() == ordered([*golden.VERDICTS, more])
 
 
-def test_broken_run_is_simply_repeated(spark, tmp_path):
-    plant = Plant(spark, tmp_path)
-    plant.add(golden.READINGS)
+@pytest.mark.parametrize("withhold_open", (False, True))
+def test_broken_run_is_simply_repeated(spark, tmp_path, withhold_open):
+    """The first run ends before its mark is written, and more readings come before the next."""
+    plant = Plant(spark, tmp_path, withhold_open=withhold_open)
+    plant.add(golden.READINGS[:20])
+    settings = plant.settings
+    plant.settings = replace(settings, mark=str(tmp_path / "unwritten"))
     plant.run()
-    # As if the run had ended before its mark was written.
-    plant.settings = replace(plant.settings, mark=str(tmp_path / "unwritten"))
+    assert plant.verdicts()
+    plant.settings = settings
+    plant.add(golden.READINGS[20:])
     plant.run()
-    assert plant.verdicts() == ordered(golden.VERDICTS)
+    wanted = golden.VERDICTS
+    if withhold_open:
+        last = {("E1", "M 1#1"): "08:00:12", ("E2", "M1"): "08:00:01"}
+        wanted = [v for v in wanted if v[2] != golden.DAY + last[v[:2]]]
+    assert plant.verdicts() == ordered(wanted)
 
 
 def ticking_readings(seed):
