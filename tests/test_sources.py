@@ -200,3 +200,8 @@ def test_jdbc_arguments():
     assert spark.calls[2:] == ["jdbc", {"url": "jdbc:x", "dbtable": "t"}]
     with pytest.raises(ValueError):
         jdbc.read_jdbc_options(spark, {"url": "jdbc:x"})
+
+
+def test_literal_rows(spark):
+    rows = files.literal_rows(spark, [("E1", 0), ("E2", 1)], ["equipmentid", "code"])
+    assert as_tuples(rows) == [("E1", 0), ("E2", 1)] and rows.columns == ["equipmentid", "code"]
