@@ -128,7 +128,7 @@ def _compared(lines: DataFrame, templates: DataFrame, slot: str | Column, limit:
     std = template_positions(templates).drop("line")
     if is_small(templates):
         std = F.broadcast(std)
-        lines = lines.join(F.broadcast(templates.select("model_key").distinct()), "model_key", "left_semi")
+        lines = lines.join(F.broadcast(templates.select("model_key")), "model_key", "left_semi")
     lanes = []
     for lane in sample_lanes(lines, slot, limit):
         fitting = lane.lines if lane.bounded else _not_above(lane, std)
@@ -202,6 +202,7 @@ def check(
     """
     failed = (F.col("n_lines") == F.col("n_std")) & F.col("bad")
     text = fn.line_text(F.col("line"), F.col("lead_offset"), F.col("pad_offset"), decimals)
+    # At most as many as the template has lines.
     failures = F.collect_list(F.when(failed, F.struct("pos", text.alias("text"))))
     in_order = F.transform(F.array_sort("failures"), lambda f: f["text"])
     checked = _per_sample(lines, templates, slot, limit, [_code().alias("code"), failures.alias("failures")])

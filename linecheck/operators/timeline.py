@@ -16,8 +16,8 @@ Beyond that, histories are cut into time slots:
 
 Rows of a slot that holds a single sample know their sample from step 2. Where such
 rows of one sample exceed ``limit`` they are *settled*: they skip the window. So no
-task sorts more than about three times ``limit`` rows, however uneven machines, days,
-times or samples are.
+group of a window has more than about three times ``limit`` rows, however uneven
+machines, days, times or samples are.
 """
 
 from __future__ import annotations

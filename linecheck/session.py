@@ -31,14 +31,14 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a folder of this machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
         folder = tempfile.mkdtemp(prefix="linecheck-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 
