@@ -14,6 +14,7 @@ from linecheck.operators.check import check
 from linecheck.operators.prepare import listed_models, typed_lines
 from linecheck.plans import classify
 from linecheck.plans.inspection import Settings, read_settings, run_inspection
+from linecheck.sources import tables
 from linecheck.sources.files import read_mark, read_templates
 from linecheck.streaming import inspect
 from test_check import as_templates, ordered
@@ -38,6 +39,8 @@ def test_alerts(spark, verdicts):
     assert ordered(found.collect()) == ordered(wanted)
     lines = {r.line for r in report.report_lines(found).collect()}
     assert "(E1,M 1#1,NG,,缺线,少线: 【实际/标准: 1/3】)" in lines
+    five = {r.line for r in report.report_lines(verdicts, S.VERDICTS.names).collect()}
+    assert "(E2,M1,,1,lineNmb4_leadOffset_0.83_padOffset_0.00)" in five and len(five) == len(golden.VERDICTS)
     first = report.first_rows(found, ["时间", "机台号"], 2).collect()
     assert [r["机台号"] for r in first] == ["m1", "m2"] and first[0]["时间"] is None
     assert report.alerts(verdicts, equipment.withColumn(S.BOX, F.lit(7))).count() == 0
@@ -123,6 +126,17 @@ def test_whole_job(spark, tmp_path):
     assert plant.verdicts() == ordered([*golden.VERDICTS, more])
 
 
+def test_whole_job_on_a_bucketed_table_in_slots(spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS linecheck_job")
+    tables.create_table(spark, "linecheck_job", [(f.name, f.dataType.simpleString(), True) for f in S.LINES], S.HISTORY, 4)
+    tables.append_rows(spark.createDataFrame(golden.READINGS, S.LINES), "linecheck_job")
+    plant = Plant(spark, tmp_path)
+    plant.settings = replace(plant.settings, readings="linecheck_job", limit=5)
+    plant.run()
+    assert plant.verdicts() == ordered(golden.VERDICTS)
+    tables.drop_table(spark, "linecheck_job")
+
+
 @pytest.mark.parametrize("withhold_open", (False, True))
 def test_broken_run_is_simply_repeated(spark, tmp_path, withhold_open):
     """The first run ends before its mark is written, and more readings come before the next."""
