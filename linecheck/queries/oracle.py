@@ -232,7 +232,8 @@ ORACLE: dict[str, str] = {
         select equipmentid || '_' || mcid || '_' || datetime::varchar as packed, equipmentid, mcid, count(*) as n_rows
         from readings group by equipmentid, mcid, datetime""",
     "later_times": f"""with {READINGS}
-        select equipmentid, greatest(max(datetime), timestamp '{MARK}') as datetime from readings group by equipmentid""",
+        select equipmentid, greatest(max(datetime), timestamp '{MARK}') as datetime
+        from readings group by equipmentid""",
     "point_states": f"""with {READINGS},
         measured as (
           select equipmentid, datetime, linenmb,
@@ -249,7 +250,8 @@ ORACLE: dict[str, str] = {
         select equipmentid, mcid, count(*) as n_rows
         from readings join open_samples using (equipmentid, mcid)
         where datetime < closes group by equipmentid, mcid""",
-    "template_files": f"with {TEMPLATES} select model_key, line, lead_diff, pad_diff, lead_limit, pad_limit from template",
+    "template_files": f"""with {TEMPLATES}
+        select model_key, line, lead_diff, pad_diff, lead_limit, pad_limit from template""",
     "json_scan": f"with {TEMPLATES} {TEMPLATE_FILE}",
     "csv_scan": f"with {EQUIPMENT} select * from equipment",
     "parquet_scan": "select * from part",
