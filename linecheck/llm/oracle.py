@@ -48,6 +48,24 @@ select
 from f
 """
 
+OP2 = """
+with d as (
+    select
+        page_id,
+        strlen(coalesce(html, ''))::bigint as payload_bytes,
+        sha256(coalesce(html, '')) as payload_digest
+    from pages
+), f as (
+    select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) end as first from d
+)
+select
+    page_id, payload_bytes, payload_digest,
+    case when first <> page_id then 'revisit' else 'response' end as record_type,
+    case when first <> page_id then first end as refers_to
+from f
+"""
+
 ORACLE: dict[str, str] = {
+    "op2_warc": OP2,
     "op8_quality_rules": OP8,
 }

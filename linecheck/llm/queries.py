@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linecheck.llm import quality
+from linecheck.llm import quality, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 POLICY = ("prose", 2)
 
+# Stated rules for URLs.
+URL_RULES = (
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+)
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -35,6 +44,28 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.records(warc.write(table(spark, folder, "pages")))
+    return records.select(
+        "page_id",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        "refers_to",
+    )
+
+
+def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    labels = table(spark, folder, "labels")
+    # Labels carry the ids of documents; the page of that id is labelled by them.
+    bad = labels.groupBy("doc_id").agg(F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("blocked"))
+    rules = urls.mined(pages.join(bad, F.col("page_id") == F.col("doc_id")))
+    return urls.judged(pages, URL_RULES, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Query] = {
+    "op2_warc": op2_warc,
     "op8_quality_rules": op8_quality_rules,
+    "op9_url_filters": op9_url_filters,
 }
