@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linecheck.llm import quality, urls, warc
+from linecheck.llm import bpe, quality, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 POLICY = ("prose", 2)
 
 # Stated rules for URLs.
@@ -44,6 +47,17 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = bpe.Tokenizer(spark, RANKS, public_tokenizers.PATTERN)
+    docs = table(spark, folder, "documents").select("doc_id", tokenizer.ids(F.col("text")).alias("ids"))
+    return docs.select("doc_id", "ids", tokenizer.text(F.col("ids")).alias("decoded")).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     records = warc.records(warc.write(table(spark, folder, "pages")))
     return records.select(
@@ -65,6 +79,7 @@ def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_bpe": op1_bpe,
     "op2_warc": op2_warc,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filters": op9_url_filters,
