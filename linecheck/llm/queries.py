@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linecheck.llm import bpe, quality, urls, warc
+from linecheck.llm import bpe, jaccard, quality, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op7_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents"), size=4, percent=85)
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rows = quality.ledger(table(spark, folder, "documents"))
     base = F.col("failed").bitwiseAND(F.lit(quality.mask(quality.BASE))) != 0
@@ -81,6 +85,7 @@ def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_warc": op2_warc,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filters": op9_url_filters,
 }
