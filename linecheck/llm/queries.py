@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linecheck.llm import bpe, jaccard, quality, urls, warc
+from linecheck.llm import bpe, jaccard, quality, repeats, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = repeats.without_repeats(table(spark, folder, "documents"), length=100)
+    return rows.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents"), size=4, percent=85)
 
@@ -85,6 +96,7 @@ def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_warc": op2_warc,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filters": op9_url_filters,
