@@ -7,12 +7,16 @@ sequence.
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import linecheck
 from linecheck.session import fresh_path
 
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -27,6 +31,7 @@ LOWER[65:91] += 32
 
 MULTIPLIER = 0x9E3779B97F4A7C15
 _VALUES = np.random.RandomState(20).randint(0, 2**62, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+_shipped: set[str] = set()
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -49,6 +54,20 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the package to Python workers that do not have it on their path."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(linecheck.__file__).parent
+    target = Path(tempfile.mkdtemp(prefix="linecheck-code-")) / "linecheck.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(target))
+    _shipped.add(context.applicationId)
+
+
 def free_name(frame: DataFrame, wish: str) -> str:
     """A column name the frame does not have, whatever the case of its names."""
     taken = {c.lower() for c in frame.columns}

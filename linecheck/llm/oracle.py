@@ -65,7 +65,23 @@ select
 from f
 """
 
+OP3 = """
+with v as (
+    select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v
+    from embeddings
+    where embedding is not null and list_aggregate(list_transform(embedding, lambda x: coalesce(isfinite(x), false)), 'bool_and')
+), s as (
+    select q.vec_id as query_id, c.vec_id as vec_id, list_inner_product(q.v, c.v)::bigint as score
+    from v as q join v as c on q.vec_id <> c.vec_id
+    where q.vec_id % 20 = 0
+), r as (
+    select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s
+)
+select query_id, rank::integer as rank, vec_id, score from r where rank <= 20
+"""
+
 ORACLE: dict[str, str] = {
     "op2_warc": OP2,
+    "op3_exact_topk": OP3,
     "op8_quality_rules": OP8,
 }

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linecheck.llm import bpe, jaccard, quality, repeats, urls, warc
+from linecheck.llm import bpe, jaccard, quality, repeats, topk, urls, warc
+from linecheck.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,9 +28,18 @@ URL_RULES = (
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = table(spark, folder, "embeddings").where(F.col("embedding").isNotNull() & finite)
+    vector = F.transform("embedding", lambda x: F.floor(x.cast("double") * 64))
+    asks = F.col("vec_id") % 20 == 0
+    return topk.top_k(rows.select("vec_id", vector.alias("vector"), asks.alias("asks")), "asks", 20, "vec_id")
+
+
 def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = repeats.without_repeats(table(spark, folder, "documents"), length=100)
     return rows.select(
@@ -96,6 +106,7 @@ def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_warc": op2_warc,
+    "op3_exact_topk": op3_exact_topk,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_quality_rules": op8_quality_rules,
