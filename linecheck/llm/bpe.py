@@ -187,14 +187,11 @@ class Merges:
 _tables: dict[tuple[int, int], Merges] = {}
 
 
-class Tokenizer:
-    """Encodes and decodes columns by the ranks of a file, which the driver reads and sends out once."""
+class TaskSide:
+    """A tokenizer as sent to tasks."""
 
-    def __init__(self, spark: SparkSession, path: str, pattern: str):
-        with open(path, "rb") as file:
-            lines = file.read()
-        self.sent = spark.sparkContext.broadcast((lines, pattern))
-        self.size = 1 + max(parsed(lines).values())
+    def __init__(self, sent):
+        self.sent = sent
 
     def merges(self) -> Merges:
         """The table of this Python process."""
@@ -205,9 +202,23 @@ class Tokenizer:
             _tables[key] = Merges(parsed(lines), pattern)
         return _tables[key]
 
+
+class Tokenizer:
+    """Encodes and decodes columns by the ranks of a file, which the driver reads and sends out once."""
+
+    def __init__(self, spark: SparkSession, path: str, pattern: str):
+        with open(path, "rb") as file:
+            lines = file.read()
+        self.sent = spark.sparkContext.broadcast((lines, pattern))
+        self.size = 1 + max(parsed(lines).values())
+
+    def task_side(self) -> TaskSide:
+        """What functions that run in tasks need."""
+        return TaskSide(self.sent)
+
     def ids(self, text: Column) -> Column:
         """The ids of the text as binary, four bytes each; of a missing text, none."""
-        this = _Sent(self.sent)
+        this = self.task_side()
 
         @F.arrow_udf(T.BinaryType())
         def encoded(texts: pa.Array) -> pa.Array:
@@ -217,7 +228,7 @@ class Tokenizer:
 
     def text(self, ids: Column) -> Column:
         """The bytes behind binary ids."""
-        this = _Sent(self.sent)
+        this = self.task_side()
 
         @F.arrow_udf(T.BinaryType())
         def decoded(rows: pa.Array) -> pa.Array:
@@ -227,15 +238,6 @@ class Tokenizer:
         return decoded(ids)
 
 
-class _Sent:
-    """What a task needs of a tokenizer."""
-
-    def __init__(self, sent):
-        self.sent = sent
-
-    merges = Tokenizer.merges
-
-
 def numbers(ids: Column) -> Column:
     """Binary ids as an array of integers."""
 
