@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linecheck.llm import bpe, chat, jaccard, quality, repeats, topk, urls, warc
+from linecheck.llm import bpe, chat, jaccard, language, quality, repeats, topk, urls, warc
 from linecheck.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,6 +112,18 @@ def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judged(pages, URL_RULES, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def _held_out() -> Column:
+    """Whether a document is kept for judging the model; null without id."""
+    return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+
+
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.fit(docs.where(~_held_out()))
+    found = language.identified(docs, model)
+    return found.select("doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_warc": op2_warc,
@@ -121,4 +133,5 @@ QUERIES: dict[str, Query] = {
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filters": op9_url_filters,
+    "op10_language_id": op10_language_id,
 }
