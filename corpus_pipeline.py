@@ -2,28 +2,66 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from linecheck.llm import quality
-from linecheck.llm.queries import POLICY
+from linecheck.llm import bpe, jaccard, mixing, quality, repeats
+from linecheck.llm.common import ship, stored
+from linecheck.llm.queries import MIXTURE, POLICY, RANKS
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the policy accepts."""
+    ship(spark)
     return quality.accepted(docs, POLICY)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: that with the smallest id."""
+    ship(spark)
+    return jaccard.one_of_each(docs, size=5, percent=80)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of 100 bytes or more that stand earlier in the corpus."""
+    ship(spark)
+    cut = repeats.deduplicated(docs, length=100)
+    return cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mixture of sources uses them."""
+    ship(spark)
+    return mixing.mixture(docs, MIXTURE)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as token ids, with the number of bytes that they decode to."""
+    ship(spark)
+    tokenizer = bpe.Tokenizer(spark, RANKS, public_tokenizers.PATTERN)
+    rows = docs.select("doc_id", "lang", "source", tokenizer.ids(F.col("text")).alias("ids"))
+    decoded = F.octet_length(tokenizer.text(F.col("ids"))).cast("long")
+    rows = rows.select("doc_id", "lang", "source", "ids", decoded.alias("n_bytes"))
+    n_tokens = (F.octet_length("ids") / 4).cast("long")
+    return rows.select("doc_id", "lang", "source", n_tokens.alias("n_tokens"), "n_bytes", bpe.numbers(F.col("ids")).alias("token_ids"))
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("n-gram jaccard join", near_duplicates),
+    ("suffix-array dedup", repeated_passages),
+    ("source mixing", source_mixing),
+    ("byte-level bpe", tokens),
 ]
 
-# The last stages are not expressible in SQL; tests compare with a brute-force version.
+# The later stages are not expressible in SQL; tests compare them with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder."""
+    """All stages over the documents of a folder; what a stage returns is stored for the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+    return STAGES[-1][1](spark, docs, sf_dir)

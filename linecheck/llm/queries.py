@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linecheck.llm import bpe, chat, jaccard, language, quality, repeats, topk, urls, warc
+from linecheck.llm import bpe, chat, jaccard, language, mixing, quality, repeats, topk, urls, warc
 from linecheck.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,9 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 POLICY = ("prose", 2)
 
+# Nearly even sources, none used more than twice, as many tokens as there are.
+MIXTURE = mixing.Target(entropy=0.95, passes=2.0)
+
 # Stated rules for URLs.
 URL_RULES = (
     ("com/", "allow"),
@@ -49,6 +52,10 @@ def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.turns(rows, tokenizer), tokenizer).drop("n_tokens")
 
 
+def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.schedule(table(spark, folder, "documents"), MIXTURE)
+
+
 def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = repeats.without_repeats(table(spark, folder, "documents"), length=100)
     return rows.select(
@@ -129,6 +136,7 @@ QUERIES: dict[str, Query] = {
     "op2_warc": op2_warc,
     "op3_exact_topk": op3_exact_topk,
     "op4_chat_format": op4_chat_format,
+    "op5_source_mixing": op5_source_mixing,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_quality_rules": op8_quality_rules,
