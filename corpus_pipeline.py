@@ -40,11 +40,16 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as token ids, with the number of bytes that they decode to."""
     ship(spark)
     tokenizer = bpe.Tokenizer(spark, RANKS, public_tokenizers.PATTERN)
-    rows = docs.select("doc_id", "lang", "source", tokenizer.ids(F.col("text")).alias("ids"))
-    decoded = F.octet_length(tokenizer.text(F.col("ids"))).cast("long")
-    rows = rows.select("doc_id", "lang", "source", "ids", decoded.alias("n_bytes"))
-    n_tokens = (F.octet_length("ids") / 4).cast("long")
-    return rows.select("doc_id", "lang", "source", n_tokens.alias("n_tokens"), "n_bytes", bpe.numbers(F.col("ids")).alias("token_ids"))
+    coded = tokenizer.round_trip(F.col("text"))
+    rows = docs.select("doc_id", "lang", "source", coded.alias("coded"))
+    return rows.select(
+        "doc_id",
+        "lang",
+        "source",
+        (F.octet_length("coded.ids") / 4).cast("long").alias("n_tokens"),
+        F.octet_length("coded.bytes").cast("long").alias("n_bytes"),
+        bpe.numbers(F.col("coded.ids")).alias("token_ids"),
+    )
 
 
 STAGES = [

@@ -46,7 +46,8 @@ class Merges:
         self.ranks = ranks
         self.cut = regex.compile(pattern)
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.single = [ranks[bytes([b])] for b in range(256)]
+        self.single = np.array([ranks[bytes([b])] for b in range(256)])
+        self.byte_pairs = np.array([[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)])
         self.pairs: dict[tuple[int, int], int] = {}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -59,41 +60,45 @@ class Merges:
             self.pairs[left, right] = found
         return found
 
-    def replay(self, words: list[bytes]) -> list[list[int]]:
-        """The ids of every word.
+    def replay(self, words: list[bytes]) -> list[bytes]:
+        """The ids of every word, which has at least one byte.
 
         Within a word the lowest rank goes first, at its leftmost place. Where a merge makes
         a pair of lower rank, the other places of that word wait until it is done.
         """
-        rank, single = self.rank, self.single
-        symbols: list[int] = []
-        after: list[int] = []
-        starts: list[int] = []
-        for word in words:
-            at = len(symbols)
-            starts.append(at)
-            symbols.extend([single[b] for b in word])
-            after.extend(range(at + 1, at + len(word) + 1))
-            after[-1] = -1
-        before = [at - 1 for at in range(len(symbols))]
-        for at in starts:
-            before[at] = -1
-
-        index: dict[int, list[int]] = {}
-        for at, follower in enumerate(after):
-            if follower >= 0:
-                r = rank(symbols[at], symbols[follower])
-                if r >= 0:
-                    index.setdefault(r, []).append(at)
+        pairs, rank = self.pairs, self.rank
+        letters = np.frombuffer(b"".join(words), np.uint8)
+        ends = np.cumsum([len(word) for word in words])
+        symbols = self.single[letters].tolist()
+        after = np.arange(1, len(letters) + 1)
+        after[ends - 1] = -1
+        before = np.arange(-1, len(letters) - 1)
+        before[ends[:-1]] = -1
+        starts = [0, *ends[:-1].tolist()]
+
+        # The first pairs are pairs of bytes; places in the index ascend.
+        first = self.byte_pairs[letters[:-1], letters[1:]]
+        first[ends[:-1] - 1] = -1
+        at = np.flatnonzero(first >= 0)
+        at = at[np.argsort(first[at], kind="stable")]
+        present, cuts = np.unique(first[at], return_index=True)
+        cuts = [*cuts.tolist(), len(at)]
+        index = {r: at[a:b].tolist() for r, a, b in zip(present.tolist(), cuts[:-1], cuts[1:], strict=True)}
+        after, before = after.tolist(), before.tolist()
         ready = list(index)
         heapq.heapify(ready)
         while ready:
             r = heapq.heappop(ready)
+            places = index.pop(r, None)
+            if places is None:
+                continue
+            places.sort()
             waiting: set[int] = set()
             later: list[int] = []
-            for at in sorted(index.pop(r, ())):
-                left, follower = symbols[at], after[at]
-                if left < 0 or follower < 0 or rank(left, symbols[follower]) != r:
+            for at in places:
+                follower = after[at]
+                left = symbols[at]
+                if left < 0 or follower < 0 or pairs.get((left, symbols[follower])) != r and rank(left, symbols[follower]) != r:
                     continue
                 if waiting and bisect_right(starts, at) in waiting:
                     later.append(at)
@@ -101,26 +106,40 @@ class Merges:
                 symbols[at], symbols[follower] = r, -1
                 beyond, ahead = after[follower], before[at]
                 after[at] = beyond
-                touched = []
                 if beyond >= 0:
                     before[beyond] = at
-                    touched.append((rank(r, symbols[beyond]), at))
+                    new = pairs.get((r, symbols[beyond]))
+                    if new is None:
+                        new = rank(r, symbols[beyond])
+                    if new >= 0:
+                        if new in index:
+                            index[new].append(at)
+                        else:
+                            index[new] = [at]
+                            heapq.heappush(ready, new)
+                        if new < r:
+                            waiting.add(bisect_right(starts, at))
                 if ahead >= 0:
-                    touched.append((rank(symbols[ahead], r), ahead))
-                for new, place in touched:
-                    if new < 0:
-                        continue
-                    if new not in index:
-                        index[new] = []
-                        heapq.heappush(ready, new)
-                    index[new].append(place)
-                    if new < r:
-                        waiting.add(bisect_right(starts, at))
+                    new = pairs.get((symbols[ahead], r))
+                    if new is None:
+                        new = rank(symbols[ahead], r)
+                    if new >= 0:
+                        if new in index:
+                            index[new].append(ahead)
+                        else:
+                            index[new] = [ahead]
+                            heapq.heappush(ready, new)
+                        if new < r:
+                            waiting.add(bisect_right(starts, at))
             if later:
+                if r not in index:
+                    heapq.heappush(ready, r)
                 index.setdefault(r, []).extend(later)
-                heapq.heappush(ready, r)
-        ends = [*starts[1:], len(symbols)]
-        return [[s for s in symbols[a:b] if s >= 0] for a, b in zip(starts, ends, strict=True)]
+        kept = np.array(symbols)
+        live = kept >= 0
+        bounds = np.concatenate(([0], np.cumsum(live)))[[0, *ends]] * 4
+        ids = kept[live].astype("<u4").tobytes()
+        return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
     def learn(self, words: Iterable[str]) -> None:
         """Encode the words that are not remembered."""
@@ -140,8 +159,7 @@ class Merges:
             else:
                 self.known[word] = np.uint32(whole).tobytes()
         if todo:
-            for (word, _), ids in zip(todo, self.replay([letters for _, letters in todo]), strict=True):
-                self.known[word] = np.array(ids, "<u4").tobytes()
+            self.known.update(zip((word for word, _ in todo), self.replay([letters for _, letters in todo]), strict=True))
 
     def words(self, text: str) -> Iterator[list[str]]:
         """The text's words, some at a time."""
@@ -184,6 +202,8 @@ class Merges:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+_ROUND_TRIP = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("bytes", T.BinaryType())])
+
 _tables: dict[tuple[int, int], Merges] = {}
 
 
@@ -226,6 +246,20 @@ class Tokenizer:
 
         return encoded(text.cast("string"))
 
+    def round_trip(self, text: Column) -> Column:
+        """A struct of the text's ``ids`` and the ``bytes`` behind them, from one pass over the text."""
+        this = self.task_side()
+
+        @F.arrow_udf(_ROUND_TRIP)
+        def both(texts: pa.Array) -> pa.Array:
+            merges = this.merges()
+            ids = merges.encode([t or "" for t in texts.to_pylist()])
+            return pa.StructArray.from_arrays(
+                [pa.array(ids, pa.binary()), pa.array([merges.decode(i) for i in ids], pa.binary())], ["ids", "bytes"]
+            )
+
+        return both(text.cast("string"))
+
     def text(self, ids: Column) -> Column:
         """The bytes behind binary ids."""
         this = self.task_side()

@@ -90,12 +90,12 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = bpe.Tokenizer(spark, RANKS, public_tokenizers.PATTERN)
-    docs = table(spark, folder, "documents").select("doc_id", tokenizer.ids(F.col("text")).alias("ids"))
-    return docs.select("doc_id", "ids", tokenizer.text(F.col("ids")).alias("decoded")).select(
+    docs = table(spark, folder, "documents").select("doc_id", tokenizer.round_trip(F.col("text")).alias("coded"))
+    return docs.select(
         "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.octet_length("coded.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("coded.ids", 256).alias("ids_sha256"),
+        F.sha2("coded.bytes", 256).alias("decoded_sha256"),
     )
 
 
