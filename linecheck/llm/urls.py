@@ -115,13 +115,13 @@ def judged(
     rows = pages.select(*[F.col(f"`{c}`") for c in kept])
     rows = rows.withColumn(stem, F.array_join(F.array_sort(tokens(F.col("url"))), "\n"))
     shapes = rows.select(F.col(stem).alias("shape"), "url").groupBy("shape").agg(F.min("url").alias("url"))
-    hit = matched(shapes, blocking, "shape").withColumn("hit", F.lit(True))
-    rows = rows.join(hit, F.col(stem) == F.col("shape"), "left")
-    h, p = host(F.col("url")), path(F.col("url"))
+    hit = matched(shapes, blocking, "shape")
+    rows = rows.join(hit, rows[stem] == hit["shape"], "left")
+    h, p = host(rows["url"]), path(rows["url"])
     by_rule = stated(h, p, rules)
-    mined_verdict = F.when(F.col("hit"), F.lit("block")).otherwise(F.lit("allow"))
+    mined_verdict = F.when(hit["shape"].isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
     return rows.select(
-        *[F.col(f"`{c}`") for c in kept],
+        *[rows[f"`{c}`"] for c in kept],
         h.alias("host"),
         p.alias("path"),
         by_rule["rule"].alias("rule"),
