@@ -149,6 +149,11 @@ def _near(n: Column, m: Column, percent: int) -> Column:
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
+def _wanted(n: Column, percent: int) -> Column:
+    """N-grams that the prefixes of two similar sets share, the smaller of size ``n``."""
+    return F.least(F.lit(SHARED), F.ceil(n * percent / 100))
+
+
 def _candidates(groups: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a``, ``b`` of groups such that all groups with links are connected by them."""
     listed = groups.select("gid", "n", F.explode("prefix").alias("gram"))
@@ -161,20 +166,25 @@ def _candidates(groups: DataFrame, percent: int) -> DataFrame:
     met = left.join(right, "gram").where((F.col("a") < F.col("b")) & _near(F.col("n_a"), F.col("n_b"), percent))
     met = met.groupBy("a", "b").agg(F.count("*").alias("met"), F.min(F.least("n_a", "n_b")).alias("n"))
 
-    # Groups that share long lists count those as well, so they are tied to the list's
-    # first group of their size and of the next size instead of being counted.
+    # Places in long lists are counted per group only: a pair shares at most the smaller
+    # number of the two. Pairs that may reach the wanted number that way stay.
+    long = shared.where(F.col("length") > SHORT)
+    counts = long.groupBy("gid").agg(F.count("*").alias("places"))
+    for side in ("a", "b"):
+        met = met.join(counts.select(F.col("gid").alias(side), F.col("places").alias(f"places_{side}")), side, "left")
+    places = F.least(F.coalesce("places_a", F.lit(0)), F.coalesce("places_b", F.lit(0)))
+    met = met.where(F.col("met") + places >= _wanted(F.col("n"), percent))
+
+    # Pairs that share n-grams with long lists only: groups with enough of them are tied to
+    # the list's first group of their size, and that to the first of the next size.
+    smallest = F.ceil(F.col("n") * percent / 100)
+    long = long.join(counts, "gid").where(F.col("places") >= _wanted(smallest, percent))
     step = float(np.log(100 / percent)) * (1 + 1e-9) if percent < 100 else 1.0
-    long = shared.where(F.col("length") > SHORT).withColumn("band", F.floor(F.log("n") / F.lit(step)))
+    long = long.withColumn("band", F.floor(F.log("n") / F.lit(step)))
     hubs = long.groupBy("gram", "band").agg(F.min("gid").alias("hub"))
     tied = long.join(hubs, ["gram", "band"]).select(F.col("gid").alias("a"), F.col("hub").alias("b"))
     above = hubs.select("gram", (F.col("band") - 1).alias("band"), F.col("hub").alias("b"))
     bridged = hubs.join(above, ["gram", "band"]).select(F.col("hub").alias("a"), "b")
-
-    # A pair may share some n-grams in short and others in long lists; groups with a place
-    # in a long list are therefore kept whatever the number they share in short ones.
-    in_long = long.select(F.col("gid").alias("a")).distinct().withColumn("has_long", F.lit(True))
-    least = F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100))
-    met = met.join(in_long, "a", "left").where((F.col("met") >= least) | F.col("has_long"))
     return met.select("a", "b").union(tied).union(bridged).where("a <> b").distinct()
 
 
