@@ -126,9 +126,10 @@ def _steps(lane: Lane, lines: DataFrame) -> DataFrame:
 def _compared(lines: DataFrame, templates: DataFrame, slot: str | Column, limit: int | None) -> list[Lane]:
     """Lines joined to the template line of their position, lane by lane."""
     std = template_positions(templates).drop("line")
+    models = templates.select("model_key").distinct()
     if is_small(templates):
-        std = F.broadcast(std)
-        lines = lines.join(F.broadcast(templates.select("model_key")), "model_key", "left_semi")
+        std, models = F.broadcast(std), F.broadcast(models)
+    lines = lines.join(models, "model_key", "left_semi")
     lanes = []
     for lane in sample_lanes(lines, slot, limit):
         fitting = lane.lines if lane.bounded else _not_above(lane, std)

@@ -8,16 +8,19 @@ a task can sort the largest history (``limit`` rows, measured).
 Beyond that, histories are cut into time slots:
 
 1. ``slot_table`` counts rows and marker times per history and slot. A slot is a
-   day, say; one with more than ``limit`` rows is cut at every distinct time. A window over
-   the slots of a history, and one over the times of a cut slot, carry the last marker on.
+   day, say; one with more than ``limit`` rows is cut into hours, those into minutes, then
+   seconds, and at last at every distinct time. A window over the slots of a history, and
+   one over the parts of each cut slot, carry the last marker on.
 2. ``place`` joins that table to the rows and tells every row its *home*: the slot in
    which its sample started. All rows of one sample share one home.
 3. ``segment`` takes the running maximum within (history, home), again one shuffle.
 
 Rows of a slot that holds a single sample know their sample from step 2. Where such
 rows of one sample exceed ``limit`` they are *settled*: they skip the window. So no
-group of a window has more than about three times ``limit`` rows, however uneven
-machines, days, times or samples are.
+group of a window over rows has more than about three times ``limit`` rows, however uneven
+machines, days, times or samples are. A window over slots is as large as the number of slots
+of a history, or of parts of one slot: 60 at most, but for the distinct times of one second,
+or of one slot that is given as a column.
 """
 
 from __future__ import annotations
@@ -35,9 +38,6 @@ from linecheck.operators.measured import is_small, small_side, written
 
 DEFAULT_LIMIT = 2_000_000
 
-# Slots are broadcast up to this number; at some 300 bytes each that is 600 MB.
-SLOT_ROWS = 2_000_000
-
 
 @dataclass(frozen=True)
 class Placed:
@@ -52,7 +52,7 @@ class Placed:
 
 
 # Length of the text of a time up to each width.
-WIDTHS = {"year": 4, "month": 7, "day": 10, "hour": 13, "minute": 16}
+WIDTHS = {"year": 4, "month": 7, "day": 10, "hour": 13, "minute": 16, "second": 19}
 
 
 def slot_of(rows: DataFrame, time: str, width: str | Column = "day") -> Column:
@@ -71,6 +71,15 @@ def slot_of(rows: DataFrame, time: str, width: str | Column = "day") -> Column:
     raise ValueError(f"name a slot for a time column of type {kind.simpleString()}")
 
 
+def levels_of(rows: DataFrame, time: str, width: str | Column = "day") -> list[Column]:
+    """Slots of the width, of all smaller widths, and at last the times themselves.
+
+    A slot that is given as a column is cut at the times at once.
+    """
+    smaller = [width] if isinstance(width, Column) else [*WIDTHS][[*WIDTHS].index(width) :]
+    return [*(slot_of(rows, time, each) for each in smaller), F.col(time)]
+
+
 def running_start(keys: Sequence[str], time: str, marker: Column) -> Column:
     """The latest marker time so far; rows at the marker's own time belong to it too."""
     so_far = Window.partitionBy(*keys).orderBy(time)
@@ -91,59 +100,55 @@ def _before(keys: Sequence[str]) -> WindowSpec:
 
 
 def _carried(
-    rows: DataFrame, keys: Sequence[str], time: str, marker: Column, slot: Column, limit: int
-) -> tuple[DataFrame, DataFrame | None] | None:
-    """Slots with the last marker before them and its home; the slots cut at every time."""
-    facts = written(_facts(rows, keys, slot, time, marker), "slots")
-    histories = facts.groupBy(*keys).agg(F.sum("slot_rows").alias("history_rows"))
-    if histories.where(F.col("history_rows") > limit).isEmpty():
-        return None
-
-    # The home of a marker in a slot that is cut is the marker's own time.
-    crowded = F.col("slot_rows") > limit
-    last_home = F.when(crowded, F.col("last_mark")).otherwise(F.col("slot"))
-    last_home = F.when(F.col("last_mark").isNotNull(), last_home)
-    wide = facts.select(
-        *keys,
-        "slot",
-        "slot_rows",
-        "first_mark",
-        F.max("last_mark").over(_before(keys)).alias("carried"),
-        F.max(last_home).over(_before(keys)).alias("carried_home"),
-    )
-    slots = wide.where(~crowded).withColumn("single_time", F.lit(False))
-    cut = wide.where(crowded).select(*keys, F.col("slot").alias("wide_slot"), "carried", "carried_home")
-    if cut.isEmpty():
-        return slots, None
-
-    cut = small_side(written(cut, "cut"))
-    inside = lookup(rows.withColumn("wide_slot", slot), cut, on([*keys, "wide_slot"]), "left_semi")
-    narrow = _facts(inside, [*keys, "wide_slot"], F.col(time), time, marker)
-    narrow = narrow.withColumn("inner_mark", F.max("last_mark").over(_before([*keys, "wide_slot"])))
-    narrow = lookup(narrow, cut, on([*keys, "wide_slot"]), "inner", ["carried", "carried_home"]).select(
-        *keys,
-        "slot",
-        "slot_rows",
-        "first_mark",
-        F.coalesce("inner_mark", "carried").alias("carried"),
-        F.coalesce("inner_mark", "carried_home").alias("carried_home"),
-        F.lit(True).alias("single_time"),
-    )
-    return slots.unionByName(narrow), cut.select(*keys, "wide_slot")
+    rows: DataFrame, keys: Sequence[str], time: str, marker: Column, levels: Sequence[Column], limit: int
+) -> tuple[DataFrame, list[DataFrame]] | None:
+    """Slots with the last marker before them and its home; per level the slots that are cut further."""
+    slots: DataFrame | None = None
+    cuts: list[DataFrame] = []
+    inside, owner = rows, list(keys)
+    for depth, level in enumerate(levels):
+        facts = written(_facts(inside, owner, level, time, marker), "slots")
+        if not depth:
+            histories = facts.groupBy(*keys).agg(F.sum("slot_rows").alias("history_rows"))
+            if histories.where(F.col("history_rows") > limit).isEmpty():
+                return None
+        facts = facts.withColumn("carried", F.max("last_mark").over(_before(owner)))
+        if depth:
+            outer = cuts[-1].withColumnRenamed("carried", "outer")
+            facts = lookup(facts, outer, on(owner), "inner", ["outer"])
+            facts = facts.withColumn("carried", F.coalesce("carried", "outer"))
+        at_times = depth == len(levels) - 1
+        crowded = F.lit(False) if at_times else F.col("slot_rows") > limit
+        ready = facts.where(~crowded).select(
+            *keys, "slot", "slot_rows", "first_mark", "last_mark", "carried", F.lit(at_times).alias("single_time")
+        )
+        slots = ready if slots is None else slots.unionByName(ready)
+        cut = facts.where(crowded).select(*keys, F.col("slot").alias("wide_slot"), "carried")
+        if at_times or cut.isEmpty():
+            break
+        cuts.append(small_side(written(cut, "cut")))
+        owner = [*keys, "wide_slot"]
+        inside = lookup(inside.withColumn("wide_slot", level), cuts[-1], on(owner), "left_semi")
+
+    # A marker that is carried on is the last one of the slot that is its home.
+    slots = written(slots, "cut-slots")
+    homes = small_side(slots.where(F.col("last_mark").isNotNull()).select(*keys, "last_mark", F.col("slot").alias("carried_home")))
+    slots = lookup(slots, homes, [*on(keys), ("carried", "last_mark")], "left", ["carried_home"])
+    return slots.drop("last_mark"), cuts
 
 
 def slot_table(
-    rows: DataFrame, keys: Sequence[str], time: str, marker: Column, slot: Column, limit: int
-) -> tuple[DataFrame, DataFrame | None, DataFrame | None] | None:
-    """The slots of every history, those cut at every time, and the settled samples.
+    rows: DataFrame, keys: Sequence[str], time: str, marker: Column, levels: Sequence[Column], limit: int
+) -> tuple[DataFrame, list[DataFrame], DataFrame | None] | None:
+    """The slots of every history, those that are cut, level by level, and the settled samples.
 
     None if no history has more than ``limit`` rows. Of a slot the rows from ``own_from`` on
     have their home in it; all others start at ``known_start`` and have ``known_home``.
     """
-    carried = _carried(rows, keys, time, marker, slot, limit)
+    carried = _carried(rows, keys, time, marker, levels, limit)
     if carried is None:
         return None
-    slots, cut = carried
+    slots, cuts = carried
     marked = F.col("first_mark").isNotNull()
     slots = written(slots.withColumn("one_sample", F.col("single_time") | ~marked), "carried").withColumn(
         "slot_sample", F.when(F.col("one_sample"), F.coalesce("first_mark", "carried"))
@@ -169,7 +174,7 @@ def slot_table(
         F.when(is_settled, marked_home).otherwise(F.col("carried_home")).alias("known_home"),
         "settled",
     )
-    return written(slots, "homes"), cut, settled
+    return written(slots, "homes"), cuts, settled
 
 
 def place(
@@ -180,20 +185,23 @@ def place(
     None if there is no need to, because a task can sort the largest history. With no limit
     the caller vouches for that, and nothing is measured.
     """
-    if limit is None or is_small(rows, limit):
+    if limit is None:
+        return None
+    # Whether the times can be cut must not depend on how many there are.
+    levels = levels_of(rows, time, width)
+    if is_small(rows, limit):
         return None
-    slot = slot_of(rows, time, width)
-    tables = slot_table(rows, keys, time, marker, slot, limit)
+    tables = slot_table(rows, keys, time, marker, levels, limit)
     if tables is None:
         return None
-    slots, crowded, settled = tables
-    cut = rows.withColumn("row_slot", slot)
-    if crowded is not None:
+    slots, cuts, settled = tables
+    cut = rows.withColumn("row_slot", levels[0])
+    for crowded, finer in zip(cuts, levels[1:], strict=False):
         crowded = crowded.withColumn("crowded", F.lit(True))
         cut = lookup(cut, crowded, [*on(keys), ("row_slot", "wide_slot")], "left", ["crowded"])
-        cut = cut.withColumn("row_slot", F.when(F.col("crowded"), F.col(time)).otherwise(F.col("row_slot")))
+        cut = cut.withColumn("row_slot", F.when(F.col("crowded"), finer).otherwise(F.col("row_slot"))).drop("crowded")
     facts = ["slot", "own_from", "known_start", "known_home", "settled"]
-    placed = lookup(cut, small_side(slots, SLOT_ROWS), [*on(keys), ("row_slot", "slot")], "inner", facts)
+    placed = lookup(cut, small_side(slots), [*on(keys), ("row_slot", "slot")], "inner", facts)
     own = F.coalesce(F.col(time) >= F.col("own_from"), F.lit(False))
     placed = placed.withColumn("own", own).select(
         *rows.columns,

@@ -214,8 +214,9 @@ def test_without_limit_nothing_is_measured(spark, monkeypatch):
 
 def test_times_of_a_number_need_a_slot(spark):
     frame = spark.createDataFrame([("a", i, i % 3 == 0) for i in range(20)], "k string, t int, m boolean")
-    with pytest.raises(ValueError):
-        segment(frame, ["k"], "t", F.col("m"), limit=4).collect()
+    for limit in (4, 1_000_000):
+        with pytest.raises(ValueError):
+            segment(frame, ["k"], "t", F.col("m"), limit=limit).collect()
     slot = F.floor(F.col("t") / 5).cast("int") * 5
     rows = segment(frame, ["k"], "t", F.col("m"), slot=slot, limit=4).collect()
     assert {r.t: r.sample_ts for r in rows} == {i: i // 3 * 3 for i in range(20)}
@@ -264,3 +265,24 @@ def test_plan_does_not_grow_with_the_models(spark, tmp_path, models):
     rows = checks.check(lines, spark.read.parquet(str(tmp_path / "t")))
     plan = rows._sc._jvm.PythonSQLUtils.explainString(rows._jdf.queryExecution(), "simple")
     assert plan.count("\n") < 60
+
+
+@pytest.mark.parametrize("limit", (20, 400))
+def test_a_crowded_day_is_cut_level_by_level(spark, monkeypatch, limit):
+    """All readings within one hour; windows over parts of a slot have at most 60 of them."""
+    windows = []
+    carry = timeline._facts
+
+    def seen(rows, keys, slot, time, marker):
+        found = carry(rows, keys, slot, time, marker)
+        windows.append(found.groupBy(*keys).count().agg(F.max("count")).first()[0])
+        return found
+
+    monkeypatch.setattr(timeline, "_facts", seen)
+    rows = [(1 + i % 7, f"E{i % 3 // 2}", "M1", f"2021-04-23 08:{i // 3 % 60:02d}:{i % 50:02d}") for i in range(1500)]
+    frame = spark.createDataFrame(rows, "n int, eq string, mc string, t string")
+    marker = F.col("n") == 1
+    cut = segment(frame, ["eq", "mc"], "t", marker, limit=limit)
+    plain = segment(frame, ["eq", "mc"], "t", marker, limit=None)
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, plain.collect()))
+    assert len(windows) > 2 and max(windows) <= 60
