@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from linecheck.session import shared_folder
 
+# Names of the modes.
 MODES = ("train", "loadAndPredict", "trainAndPredict")
 
 

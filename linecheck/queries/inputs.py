@@ -86,8 +86,8 @@ def equipment(spark: SparkSession, folder: str) -> DataFrame:
     suppliers = table(spark, folder, "supplier")
     nations = table(spark, folder, "nation")
     regions = table(spark, folder, "region").where(F.col("r_name") != "EUROPE")
-    places = nations.join(F.broadcast(regions), F.col("n_regionkey") == F.col("r_regionkey"))
-    return suppliers.join(F.broadcast(places), F.col("s_nationkey") == F.col("n_nationkey")).select(
+    places = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
+    return suppliers.join(places, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("s_name").alias(S.MACHINE), _machine().alias(S.BOX), F.col("n_name").alias(S.PLANT),
         F.col("r_name").alias(S.AREA),
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Column names of readings, templates, model list and verdicts.
 COORDINATES = ("leadx", "leady", "padx", "pady")
 HISTORY = ("equipmentid", "mcid")
 
