@@ -205,3 +205,56 @@ def test_jdbc_arguments():
 def test_literal_rows(spark):
     rows = files.literal_rows(spark, [("E1", 0), ("E2", 1)], ["equipmentid", "code"])
     assert as_tuples(rows) == [("E1", 0), ("E2", 1)] and rows.columns == ["equipmentid", "code"]
+
+
+def test_templates_with_gaps_fail(spark, tmp_path):
+    line = '{"lineNmb":%d,"leadDiff":1.0,"padDiff":1.0%s}\n'
+    limits = ',"leadThreshold":0.5,"padThreshold":0.5'
+    (tmp_path / "whole.json").write_text(line % (1, limits))
+    assert files.read_template(spark, str(tmp_path / "whole.json"), "M1").count() == 1
+    (tmp_path / "broken.json").write_text(line % (1, limits) + '{"lineNmb":2,"lead\n')
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        files.read_template(spark, str(tmp_path / "broken.json"), "M1").collect()
+    (tmp_path / "gap.json").write_text(line % (1, limits) + line % (2, ""))
+    with pytest.raises(Exception, match="has no leadThreshold"):
+        files.read_template(spark, str(tmp_path / "gap.json"), "M1").collect()
+    (tmp_path / "gap.csv").write_text(TEMPLATE_CSV + "9,1,1,,1\n")
+    with pytest.raises(Exception, match="has no leadThreshold"):
+        files.read_template(spark, str(tmp_path / "gap.csv"), "M1").collect()
+    gap = spark.createDataFrame([(1, 1.0, None, 0.5, 0.5)], S.TEMPLATE)
+    gap.write.parquet(str(tmp_path / "gap.parquet"))
+    with pytest.raises(Exception, match="has no padDiff"):
+        files.read_template(spark, str(tmp_path / "gap.parquet"), "M1").collect()
+
+
+@pytest.mark.parametrize("write", (keyed.insert, keyed.upsert, keyed.update))
+def test_rows_that_do_not_fit_a_keyed_table(spark, base, write):
+    missing = spark.createDataFrame([(None, "x", 1.0)], base.schema)
+    with pytest.raises(keyed.KeyConflict, match="no value for a key"):
+        write(base, missing, ["id"])
+    known = base.where("id = 1") if write is keyed.update else base.where("id = 1").withColumn("id", F.lit(77))
+    with pytest.raises(keyed.KeyConflict, match="no value for a key"):
+        write(base.union(missing), known, ["id"])
+    with pytest.raises(keyed.KeyConflict, match="no column w"):
+        write(base, known.withColumn("w", F.lit(1)), ["id"])
+    with pytest.raises(keyed.KeyConflict, match="lack the key id"):
+        write(base, known.drop("id"), ["id"])
+
+
+def test_columns_that_look_like_those_of_the_join(spark):
+    table = spark.createDataFrame([(1, 10, True), (2, 20, False)], "id int, new_v int, is_new boolean")
+    found = keyed.update(table, table.where("id = 1").selectExpr("id", "99 as new_v"), ["id"])
+    assert as_tuples(found) == [(1, 99, True), (2, 20, False)]
+
+
+def test_a_written_table_is_switched_to_its_new_version(spark):
+    spark.sql("DROP TABLE IF EXISTS linecheck_w")
+    tables.create_table(spark, "linecheck_w", COLUMNS, ["id"], partitions=4)
+    rows = spark.range(10).selectExpr("id", "'a' as name", "1.5d as v", "'y' as x")
+    for part in (rows.where("id < 6"), rows.where("id > 3").withColumn("v", F.lit(9.0))):
+        new = keyed.upsert(tables.read_table(spark, "linecheck_w"), part, ["id"])
+        tables.rewrite(new, "linecheck_w", ["id"], partitions=4)
+    stored = tables.read_table(spark, "linecheck_w")
+    assert stored.count() == 10 and stored.where("v = 9").count() == 6
+    assert not spark.catalog.tableExists("linecheck_w_next")
+    tables.drop_table(spark, "linecheck_w")
