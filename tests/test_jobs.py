@@ -13,7 +13,7 @@ from linecheck.operators import increments, report, stacking
 from linecheck.operators.check import check
 from linecheck.operators.prepare import listed_models, typed_lines
 from linecheck.plans import classify
-from linecheck.plans.inspection import Settings, read_settings, run_inspection
+from linecheck.plans.inspection import Settings, close_inspection, read_settings, run_inspection
 from linecheck.sources import tables
 from linecheck.sources.files import read_mark, read_templates
 from linecheck.streaming import inspect
@@ -193,6 +193,31 @@ def test_runs_that_withhold_open_samples_equal_one_run(spark, tmp_path, seed):
     assert found == ordered(v for v in whole if v[2] is None or v[2] < last[v[0], v[1]])
 
 
+@pytest.mark.parametrize("seed", (1, 2))
+def test_runs_that_withhold_and_close_equal_one_run_on_all_samples(spark, tmp_path, seed):
+    rows = ticking_readings(seed)
+    plant = Plant(spark, tmp_path, withhold_open=True)
+    whole = ordered(restated.verdicts(rows, {"M1": golden.TEMPLATE}))
+    *early, late = parts(rows, CUTS)
+    for part in early:
+        plant.add(part)
+        plant.run()
+    close_inspection(spark, plant.settings)
+    plant.add(late)
+    plant.run()
+    assert plant.verdicts() != whole
+    outcome = close_inspection(spark, plant.settings)
+    assert plant.verdicts() == whole
+    close_inspection(spark, plant.settings)
+    assert plant.verdicts() == whole and outcome.upto == read_mark(spark, plant.settings.mark, "")
+
+
+def test_settings_of_any_length_are_not_read(spark, tmp_path):
+    (tmp_path / "settings.txt").write_text("# x\n" * 300)
+    with pytest.raises(ValueError, match="at most"):
+        read_settings(spark, str(tmp_path / "settings.txt"))
+
+
 def test_default_runs_cut_open_samples(spark, tmp_path):
     rows = ticking_readings(1)
     plant = Plant(spark, tmp_path)
