@@ -25,7 +25,7 @@ from linecheck.llm.common import PIECE
 
 # Words in each of the two generations that a Python worker remembers: when the young one is
 # full, it takes the place of the old one. Bounds memory, not results.
-REMEMBERED = 400_000
+REMEMBERED = 120_000
 
 # Words that are cut from a text at once.
 CUT = 1 << 16

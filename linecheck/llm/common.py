@@ -22,7 +22,7 @@ from linecheck.session import fresh_path
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # Bytes of text that are hashed at once; bounds the memory a very long text takes.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
