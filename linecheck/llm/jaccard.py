@@ -18,7 +18,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from linecheck.llm.common import as_bytes, free_name, mixed, stored, window_hashes, word_hashes
 from linecheck.llm.graph import components
@@ -101,11 +100,15 @@ def _counted(docs: DataFrame, size: int) -> np.ndarray:
     schema = "chunk int, counts binary"
     parts = docs.select("text").mapInArrow(count, schema)
     parts = parts.repartition("chunk").mapInArrow(added, schema)
-    total = np.zeros(cells, np.float64)
+    total = np.zeros(cells, np.float32)
     for row in parts.toLocalIterator():
-        total[row.chunk * CHUNK : row.chunk * CHUNK + CHUNK] += np.frombuffer(row.counts, "<u8")
-    many = total / max(4 * total.mean(), 1)
-    return np.floor(np.log2(np.maximum(many, 0.5)) + 1).clip(0).astype(np.uint8)
+        total[row.chunk * CHUNK : row.chunk * CHUNK + CHUNK] += np.frombuffer(row.counts, "<u8").astype(np.float32)
+    most = max(4 * total.mean(dtype=np.float64), 1)
+    classes = np.empty(cells, np.uint8)
+    for start in range(0, cells, CHUNK):
+        many = total[start : start + CHUNK] / most
+        classes[start : start + CHUNK] = np.floor(np.log2(np.maximum(many, 0.5)) + 1)
+    return classes
 
 
 def _sets(docs: DataFrame, size: int, percent: int) -> DataFrame:

@@ -9,7 +9,6 @@ rule. Everything is DataFrame functions and ``pyspark.ml``.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
