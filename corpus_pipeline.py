@@ -18,9 +18,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest id."""
+    """One row of each group of near duplicates: that with the smallest id, without id only if none has any."""
     ship(spark)
-    return jaccard.one_of_each(docs, size=5, percent=80)
+    return jaccard.one_row_of_each(docs, size=5, percent=80)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,6 +76,11 @@ def free_name(frame: DataFrame, wish: str) -> str:
     return wish
 
 
+def numbered(rows: DataFrame, order: list[Column], number: str, name: str) -> DataFrame:
+    """The rows, stored, with a column of different numbers from 0 that rise in the order."""
+    return stored(rows.orderBy(*order).withColumn(number, F.monotonically_increasing_id()), name)
+
+
 def as_bytes(text: Column) -> Column:
     """The text in UTF-8, empty if it is missing."""
     return F.coalesce(text.cast("binary"), F.lit(b""))

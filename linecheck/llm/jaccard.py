@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linecheck.llm.common import as_bytes, free_name, mixed, stored, window_hashes, word_hashes
+from linecheck.llm.common import as_bytes, free_name, mixed, numbered, stored, window_hashes, word_hashes
 from linecheck.llm.graph import components
 
 # The order of n-grams rests on how often they occur, counted in this many cells (a power of
@@ -305,3 +305,22 @@ def one_of_each(docs: DataFrame, size: int, percent: int, key: str = "doc_id", t
     gone = free_name(docs, "gone")
     drop = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias(gone)).distinct()
     return docs.join(drop, docs[key] == drop[gone], "left_anti")
+
+
+def one_row_of_each(docs: DataFrame, size: int, percent: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each group that links tie together, that with the smallest key; all columns stay.
+
+    Rows are judged, not keys. Of rows with equal key and text one stays. Each other row is a
+    document of its own, be its key missing or that of other texts, too. Of one key's texts
+    that with the smallest digest comes first; rows without key come last.
+    """
+    unclear = docs.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n")).where("n > 1 or key is null")
+    if unclear.isEmpty():
+        return one_of_each(docs, size, percent, key, text)
+    digest, number = free_name(docs, "digest"), free_name(docs, "number")
+    rows = docs.withColumn(digest, F.sha2(F.col(text).cast("binary"), 256)).dropDuplicates([key, digest])
+    order = [F.col(key).cast("long").asc_nulls_last(), F.col(key).asc_nulls_last(), F.col(digest)]
+    rows = numbered(rows, order, number, "gram-rows")
+    found = near_duplicates(rows, size, percent, number, text)
+    first = found.where(F.col(number) == F.col("component_id")).select(number)
+    return rows.join(first, number, "left_semi").select(*[f"`{c}`" for c in docs.columns])

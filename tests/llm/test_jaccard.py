@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from linecheck.llm import graph, jaccard
 from tests.llm.cases import awkward_docs, components, near_duplicates, no_docs, prose
 
@@ -89,3 +90,26 @@ def test_components(spark, seed):
 
 def test_no_edges(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_row_of_each_judges_rows(spark):
+    base, near = prose(1, 120), " ".join([*prose(1, 118).split(" "), "end", "here"])
+    other, third = prose(31, 60), prose(32, 60)
+    rows = [(6, base, "x"), (6, base, "x"), (None, base, "x"), (None, near, "x"), (7, near, "x"), (7, other, "x")]
+    rows += [(None, third, "x"), (None, third, "x"), (None, f"{third} end", "x"), (8, None, "x"), (8, "", "x"), (9, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digest string")
+    left = jaccard.one_row_of_each(docs, 5, 80)
+    assert left.columns == docs.columns
+    kept = [(r.doc_id, r.text) for r in left.collect()]
+    lost = [t for i, t in kept if i is None]
+    assert sorted((i, t or "") for i, t in kept if i is not None) == [(6, base), (7, other), (8, ""), (8, ""), (9, "")]
+    assert len(lost) == 1 and lost[0] in (third, f"{third} end")
+
+
+def test_pipeline_drops_copies_without_id_and_repeated_rows(spark):
+    docs = awkward_docs(spark, clashes=True)
+    left = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert left.columns == docs.columns
+    kept = [r.doc_id for r in left.collect()]
+    assert kept.count(6) == 1 and kept.count(11) == 1 and kept.count(None) == 1
+    assert not {7, 8, 9, 21} & set(kept)
