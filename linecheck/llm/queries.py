@@ -57,7 +57,7 @@ def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    rows = repeats.without_repeats(table(spark, folder, "documents"), length=100)
+    rows = repeats.without_repeats(table(spark, folder, "documents"), length=100, apart=True)
     return rows.select(
         "doc_id",
         "n_bytes",
