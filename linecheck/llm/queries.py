@@ -113,9 +113,9 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
 def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     labels = table(spark, folder, "labels")
-    # Labels carry the ids of documents; the page of that id is labelled by them.
+    # Labels carry the ids of documents; a page is labelled by the document that its URL names.
     bad = labels.groupBy("doc_id").agg(F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("blocked"))
-    rules = urls.mined(pages.join(bad, F.col("page_id") == F.col("doc_id")))
+    rules = urls.mined(pages.join(bad, urls.document(F.col("url")) == F.col("doc_id")))
     return urls.judged(pages, URL_RULES, rules).select("page_id", "host", "path", "rule", "verdict")
 
 

@@ -21,8 +21,13 @@ CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLOCK = "label=block"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
 
-# Mined rules need so much of the labelled pages, and so large a share of blocked ones.
+# The number of the document that a page shows: a path's last segment, as /en/7817 or /en/7817.html.
+NUMBER = r"/([0-9]+)(?:\.[^/]*)?/?$"
+
+# Mined rules need so much of the labelled pages and so many at least that are blocked, and so
+# large a share of blocked ones.
 MIN_SUPPORT = 0.002
+MIN_PAGES = 10
 MIN_CONFIDENCE = 0.5
 
 
@@ -40,6 +45,11 @@ def path(url: Column) -> Column:
     return _part(url, 2)
 
 
+def document(url: Column) -> Column:
+    """The id of the document that the page shows, from its path; null if there is none."""
+    return F.regexp_extract(path(url), NUMBER, 1).try_cast("long")
+
+
 def tokens(url: Column) -> Column:
     """Host labels, path segments that are no numbers, and query keys, each once."""
     marked = [
@@ -65,19 +75,27 @@ def stated(host_of: Column, path_of: Column, rules: Sequence[tuple[str, str]]) -
 
 
 def mined(
-    labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE
+    labelled: DataFrame,
+    min_support: float = MIN_SUPPORT,
+    min_confidence: float = MIN_CONFIDENCE,
+    min_pages: int = MIN_PAGES,
 ) -> DataFrame:
     """Rules (``rule_id``, ``items``, ``confidence``, ``support``) from rows with ``url`` and ``blocked``.
 
     A rule whose items contain those of another rule of at least its confidence says
-    nothing new and goes. Rows without URL or label are left out; without any there are no
+    nothing new and goes; so does one with fewer than ``min_pages`` blocked rows, however
+    few rows there are. Rows without URL or label are left out; without any there are no
     rules. The rules are stored, so they are mined once.
     """
     known = labelled.where(F.col("url").isNotNull() & F.col("blocked").isNotNull())
     mark = F.when(F.col("blocked"), F.array(F.lit(BLOCK))).otherwise(F.array().cast("array<string>"))
     baskets = known.select(F.concat(tokens(F.col("url")), mark).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
+    n = max(baskets.count(), 1)
+    # Less than a whole page under the least number, as a share may be rounded up.
+    share = min(1.0, max(min_support, (min_pages - 0.5) / n))
+    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence).fit(baskets)
     found = model.associationRules.where(F.col("consequent") == F.array(F.lit(BLOCK)))
+    found = found.where(F.round(F.col("support") * n) >= min_pages)
     found = found.select(
         F.array_sort("antecedent").alias("items"), "confidence", "support", F.size("antecedent").alias("n_items")
     )

@@ -1,9 +1,10 @@
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from linecheck.llm import urls
-from linecheck.llm.queries import URL_RULES
+from linecheck.llm.queries import URL_RULES, op9_url_filters
 
 URLS = [
     None,
@@ -109,3 +110,35 @@ def test_mined_rules_equal_all_combinations(spark, labelled):
 def test_no_pages(spark, labelled):
     mined = urls.mined(spark.createDataFrame(labelled, "url string, blocked boolean"), 0.02, 0.6)
     assert urls.judged(frame(spark, []), URL_RULES, mined).count() == 0
+
+
+def test_number_of_the_document(spark):
+    wanted = {
+        "http://a.org/en/7817": 7817,
+        "http://a.org/en/7817/?page=2": 7817,
+        "http://a.org/2/en/78.html#9": 78,
+        "http://a.org/en/7x": None,
+        "http://a.org/en/?id=5": None,
+        "http://a.org:80": None,
+        f"http://a.org/{'9' * 30}": None,
+        None: None,
+    }
+    rows = spark.createDataFrame([(u,) for u in wanted], "url string").select("url", urls.document(F.col("url")).alias("n"))
+    assert {r.url: r.n for r in rows.collect()} == wanted
+
+
+def test_pages_are_labelled_by_the_document_they_show(spark, tmp_path):
+    spam = [i % 3 == 0 for i in range(60)]
+    pages = [(1000 + i, f"http://{'spam' if spam[i] else 'news'}.site{i}.info/en/{i}.html") for i in range(60)]
+    # By page_id, the labels would be the other way round.
+    labels = [(i, int(not spam[i]), 0) for i in range(60)] + [(1000 + i, int(spam[i]), 0) for i in range(60)] + [(0, 1, 0)]
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = op9_url_filters(spark, str(tmp_path)).collect()
+    assert {r.page_id: r.verdict for r in found} == {1000 + i: "block" if spam[i] else "allow" for i in range(60)}
+
+
+def test_chance_hits_are_no_rule(spark):
+    rows = [(f"http://a{i}.org/x/", i < 9) for i in range(300)] + [("http://bad.net/", True)] * 9 + [("http://ill.net/", True)] * 10
+    mined = urls.mined(spark.createDataFrame(rows, "url string, blocked boolean"))
+    assert {tuple(r.items) for r in mined.collect()} == {("host=ill",), ("host=net",)}
