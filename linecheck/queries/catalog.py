@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linecheck import functions as fn
@@ -29,6 +29,8 @@ NARROW = {"slot": "month", "limit": 12}
 
 # Times at which the readings of the streamed query are cut into arrivals.
 ARRIVALS = ("1997-07-01 00:00:00", "1999-07-01 00:00:00")
+# The line number whose readings arrive one part later where arrivals are to overlap.
+LATE_LINE = 4
 
 
 def scan_since_mark(spark: SparkSession, folder: str) -> DataFrame:
@@ -297,22 +299,38 @@ def boosted_scores(spark: SparkSession, folder: str) -> DataFrame:
     return scored.rows.select("vec_id", "label", "prediction")
 
 
-def streamed_verdicts(spark: SparkSession, folder: str) -> DataFrame:
-    """The verdicts from a stream of readings that arrive in three parts.
-
-    The stream is stopped and started again between them.
-    """
+def _streamed(spark: SparkSession, folder: str, part: Column, parts: int) -> str:
+    """Output folder of a stream of readings that is stopped and started again between its parts."""
     root = fresh_path(spark, "stream")
     rows = inputs.readings(spark, folder).withColumn("datetime", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss"))
     templates = written(inputs.templates(spark, folder), "templates")
-    for first, end in zip(["", *ARRIVALS], [*ARRIVALS, "9999"]):
-        arrived = rows.where((F.col("datetime") >= first) & (F.col("datetime") < end))
-        arrived.write.mode("append").parquet(f"{root}/in")
+    for n in range(parts):
+        rows.where(part == n).write.mode("append").parquet(f"{root}/in")
         source = inspect.read_stream(spark, f"{root}/in", rows.schema)
         query = inspect.inspect_stream(source, templates, f"{root}/out", f"{root}/progress")
         query.awaitTermination()
     inspect.close_open_samples(spark, rows.schema, templates, f"{root}/out", query.lastProgress["batchId"])
-    return inspect.read_verdicts(spark, f"{root}/out")
+    return f"{root}/out"
+
+
+def _period() -> Column:
+    """Number of the arrival that a reading belongs to by its time."""
+    return sum((F.col("datetime") >= time).cast("int") for time in ARRIVALS)
+
+
+def streamed_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdicts from a stream of readings that arrive in three parts.
+
+    The stream is stopped and started again between them.
+    """
+    return inspect.read_verdicts(spark, _streamed(spark, folder, _period(), len(ARRIVALS) + 1))
+
+
+def streamed_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Readings that come too late for their sample: arrivals overlap, as lines of one number come one part later."""
+    part = _period() + (F.col("linenmb") == LATE_LINE).cast("int")
+    late = inspect.read_late(spark, _streamed(spark, folder, part, len(ARRIVALS) + 2))
+    return late.select("equipmentid", "mcid", "linenmb", "datetime", "open_from", "batch")
 
 
 QUERIES: dict[str, Query] = {
@@ -365,5 +383,6 @@ QUERIES: dict[str, Query] = {
         report_files,
         boosted_scores,
         streamed_verdicts,
+        streamed_late_rows,
     )
 }

@@ -138,6 +138,23 @@ TEMPLATE_FILE = """
          lead_limit as "leadThreshold", pad_limit as "padThreshold"
   from template"""
 
+STREAMED_LATE = f"""with {READINGS},
+arrived as (
+  select *, (datetime >= timestamp '1997-07-01')::int + (datetime >= timestamp '1999-07-01')::int
+            + (linenmb = 4)::int as batch
+  from readings),
+taken0 as (select * from arrived where batch = 0)"""
+for _n in (1, 2, 3):
+    STREAMED_LATE += f""",
+open{_n} as (
+  select equipmentid, mcid, coalesce(max(case when linenmb = 1 then datetime end), min(datetime)) as open_from
+  from taken{_n - 1} group by equipmentid, mcid),
+seen{_n} as (
+  select arrived.*, open_from, coalesce(datetime < open_from, false) as late
+  from arrived left join open{_n} using (equipmentid, mcid) where batch = {_n}),
+taken{_n} as (
+  select * from taken{_n - 1} union all select * exclude (open_from, late) from seen{_n} where not late)"""
+
 ORACLE: dict[str, str] = {
     "scan_since_mark": f"""with {READINGS}
         select linenmb, equipmentid, mcid, datetime from readings
@@ -258,4 +275,9 @@ ORACLE: dict[str, str] = {
     "streamed_verdicts": f"""{VERDICTS}
         select equipmentid, mcid, strftime(datetime, '%Y-%m-%d %H:%M:%S') as datetime, code, description
         from verdicts""",
+    "streamed_late_rows": f"""{STREAMED_LATE}
+        select equipmentid, mcid, linenmb, strftime(datetime, '%Y-%m-%d %H:%M:%S') as datetime,
+               strftime(open_from, '%Y-%m-%d %H:%M:%S') as open_from, batch
+        from (select * from seen1 union all select * from seen2 union all select * from seen3)
+        where late""",
 }

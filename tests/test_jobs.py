@@ -259,6 +259,23 @@ def test_late_rows_of_a_stream_are_left_out(spark, tmp_path):
     assert texts == ["少线: 【实际/标准: 1/3】", "少线: 【实际/标准: 2/3】"]
 
 
+def test_late_rows_of_a_stream_are_kept_and_counted(spark, tmp_path):
+    def reading(line, second):
+        return (line, "E1", "M1", f"2021-04-23 08:00:{second:02}", "5", "0", "3", "0")
+
+    arrivals = [[reading(1, 0), reading(1, 9)], [reading(2, 8), reading(2, 9), reading(3, 7), reading(1, 20)], [reading(2, 10)]]
+    templates = as_templates(spark, {"M1": golden.TEMPLATE})
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for n, part in enumerate(arrivals):
+        spark.createDataFrame(part, S.LINES).coalesce(1).write.mode("append").parquet(source)
+        query = inspect.inspect_stream(inspect.read_stream(spark, source), templates, out, str(tmp_path / "progress"))
+        query.awaitTermination()
+        assert inspect.read_late(spark, out).count() == (0, 2, 3)[n]
+    late = {(r.batch, r.linenmb, r.datetime[-2:], r.open_from[-2:]) for r in inspect.read_late(spark, out).collect()}
+    assert late == {(1, 2, "08", "09"), (1, 3, "07", "09"), (2, 2, "10", "20")}
+    assert {tuple(r) for r in inspect.late_counts(spark, out).collect()} == {(1, 2), (2, 1)}
+
+
 @pytest.fixture(scope="module")
 def points(spark):
     rng = random.Random(0)
