@@ -112,7 +112,7 @@ def _counted(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Per row: ``doc_id``, ``n``, ``set_id``, ``group_id`` and ``prefix``; the last three null for an empty set."""
+    """Per row: ``doc_id``, ``mark`` of its text, ``n``, ``set_id``, ``group_id`` and ``prefix``; the last three null for an empty set."""
     sent = docs.sparkSession.sparkContext.broadcast(_counted(docs, size))
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,16 +136,17 @@ def _sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array(n, pa.int64()),
                     pa.array(sets, pa.binary()),
                     pa.array(groups, pa.binary()),
                     pa.array(prefixes, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n", "set_id", "group_id", "prefix"],
+                ["doc_id", "mark", "n", "set_id", "group_id", "prefix"],
             )
 
-    schema = "doc_id long, n long, set_id binary, group_id binary, prefix array<long>"
-    return stored(docs.select("doc_id", "text").mapInArrow(described, schema), "gram-sets")
+    schema = "doc_id long, mark long, n long, set_id binary, group_id binary, prefix array<long>"
+    return stored(docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(described, schema), "gram-sets")
 
 
 def _near(n: Column, m: Column, percent: int) -> Column:
@@ -192,8 +193,11 @@ def _candidates(groups: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(docs: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links ``a``, ``b`` between members (``label``, ``rep``, ``set_id``, ``blocks``) that connect all linked ones."""
-    texts = members.join(docs.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    """Links ``a``, ``b`` between members (``label``, ``rep``, ``mark``, ``set_id``, ``blocks``) that connect all linked ones.
+
+    A member has one row of ``docs``, or several with different texts of equal marks.
+    """
+    texts = members.join(docs.select(F.col("doc_id").alias("rep"), F.xxhash64("text").alias("mark"), "text"), ["rep", "mark"])
     block = F.pmod(F.xxhash64("rep", "set_id"), F.col("blocks"))
     rows = texts.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.select(
@@ -277,16 +281,22 @@ def near_duplicates(docs: DataFrame, size: int, percent: int, key: str = "doc_id
     clusters = components(_candidates(groups, percent))
 
     distinct = full.groupBy("set_id").agg(
-        F.min("doc_id").alias("rep"), F.first("group_id").alias("group_id"), F.first("n").alias("n")
+        F.min(F.struct("doc_id", "mark")).alias("first"), F.first("group_id").alias("group_id"), F.first("n").alias("n")
     )
+    distinct = distinct.select("set_id", F.col("first.doc_id").alias("rep"), F.col("first.mark").alias("mark"), "group_id", "n")
     distinct = distinct.join(groups.select("group_id", "gid"), "group_id")
     distinct = distinct.join(clusters.withColumnRenamed("node", "gid"), "gid", "left")
-    distinct = stored(distinct.select("set_id", "rep", "n", F.coalesce("root", "gid").alias("label")), "gram-distinct")
+    distinct = stored(distinct.select("set_id", "rep", "mark", "n", F.coalesce("root", "gid").alias("label")), "gram-distinct")
     blocks = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_GRAMS))
     crowds = distinct.groupBy("label").agg(F.count("*").alias("sets"), blocks.alias("blocks")).where("sets > 1")
-    members = distinct.join(crowds.drop("sets"), "label").select("label", "rep", "set_id", "blocks")
-
-    roots = components(stored(_verified(rows, members, size, percent), "gram-links"))
+    members = distinct.join(crowds.drop("sets"), "label").select("label", "rep", "mark", "set_id", "blocks")
+
+    # Repeated rows have one text for all of them, wherever there are any.
+    several = full.groupBy("doc_id", "mark").agg(F.count("*").alias("copies")).where("copies > 1")
+    texts = rows.where("doc_id is not null")
+    if not several.isEmpty():
+        texts = texts.groupBy("doc_id", F.sha2("text", 256).alias("digest")).agg(F.first("text").alias("text"))
+    roots = components(stored(_verified(texts, members, size, percent), "gram-links"))
     found = distinct.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     found = found.select("set_id", F.coalesce("root", "rep").alias("component_id"))
     return sets.join(found, "set_id", "left").select(

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from linecheck.llm import graph, jaccard
@@ -113,3 +114,23 @@ def test_pipeline_drops_copies_without_id_and_repeated_rows(spark):
     kept = [r.doc_id for r in left.collect()]
     assert kept.count(6) == 1 and kept.count(11) == 1 and kept.count(None) == 1
     assert not {7, 8, 9, 21} & set(kept)
+
+
+def test_repeated_rows_and_many_texts_of_a_key_are_compared_once(spark, monkeypatch):
+    base = prose(11, 90).split(" ")
+    texts = [" ".join([*base[:at], f"w{at}", *base[at + 1 :]]) for at in range(12)]
+    rows = [*[(1, texts[0])] * 30, *[(2, t) for t in texts[1:11]], (3, texts[11]), (3, texts[11])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    verified = jaccard._verified
+
+    def watched(docs, members, size, percent):
+        same = ["rep", "mark"] if "mark" in members.columns else ["rep"]
+        marked = docs.select(docs.doc_id.alias("rep"), F.xxhash64("text").alias("mark"), "text")
+        seen.append((members.count(), members.join(marked, same).count()))
+        return verified(docs, members, size, percent)
+
+    monkeypatch.setattr(jaccard, "_verified", watched)
+    left = jaccard.near_duplicates(docs, 4, 85).collect()
+    assert len(left) == len(rows) and {r.component_id for r in left} == {1}
+    assert seen == [(12, 12)]
