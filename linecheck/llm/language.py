@@ -25,9 +25,11 @@ UNKNOWN = "und"
 FEATURES = 2048
 
 # Bound of what is learned from: about so many documents of each language, chosen by a hash
-# of their ids, and the most frequent languages.
+# of their ids. If there are more than so many languages, all of them share as many documents
+# as these would have, and the least documents of each are learned in any case.
 SAMPLE = 1000
 LANGUAGES = 100
+LEAST = 20
 
 # Families of languages by their codes. A language not listed is its own family.
 FAMILIES = {
@@ -119,20 +121,27 @@ def _fitted(rows: DataFrame, positive: Column) -> np.ndarray:
     return np.append(model.coefficients.toArray(), model.intercept)
 
 
+def _place() -> Column:
+    """A number from 0 to 1 that depends on the row's key."""
+    return F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+
+
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", language: str = "lang") -> Model:
     """A model of documents with a language; rows without key, text, letters or language are left out.
 
-    Without any there is a model that knows no language. Repeated rows count as often as they occur.
+    Without any there is a model that knows no language. Every language that occurs is learned.
+    Repeated rows count as often as they occur.
     """
     known = docs.select(
         F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("text"), F.col(language).alias("lang")
     ).dropna()
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not counts:
-        return Model([], np.empty((0, 0)), {}, {})
-    share = F.create_map(*[F.lit(x) for row in counts for x in (row.lang, min(1.0, SAMPLE / row["count"]))])
-    place = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = known.where(place < share[F.col("lang")])
+    counts = stored(known.groupBy("lang").agg(F.count("*").alias("n"), F.min(_place()).alias("first")), "language-counts")
+    many = counts.count()
+    each = max(LEAST, min(SAMPLE, SAMPLE * LANGUAGES // max(many, 1)))
+    # The first document of a language always counts, so that none is lost by chance.
+    bounds = counts.select("lang", (F.lit(each) / F.col("n")).alias("share"), "first")
+    place = _place()
+    chosen = known.join(bounds, "lang").where((place < F.col("share")) | (place == F.col("first")))
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

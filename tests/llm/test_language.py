@@ -47,3 +47,13 @@ def test_nothing_to_learn_from(spark):
     assert model.predict("some text") == ("und", 0.0)
     assert language.identified(no_docs(spark), model).count() == 0
     assert {r.lang_pred for r in language.identified(awkward_docs(spark), model).collect()} == {"und"}
+
+
+def test_rare_languages_are_learned_however_many_there_are(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE", 10)
+    monkeypatch.setattr(language, "LANGUAGES", 2)
+    words = {"en": ("abab ", 200), "xx": ("cdcd ", 100), "yy": ("efef ", 3), "zz": ("ghgh ", 1)}
+    rows = [(f"{lang}{i}", word * 20, lang) for lang, (word, n) in words.items() for i in range(n)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id string, text string, lang string"))
+    assert sorted(x for names in model.languages.values() for x in names) == sorted(words)
+    assert [model.predict(word * 9)[0] for word, _ in words.values()] == list(words)
