@@ -99,9 +99,86 @@ select
 from t group by conv_id
 """
 
+TOKENS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    r" '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+OP11 = rf"""
+with d as (
+    select doc_id, row_number() over () as r, {TOKENS} as w from documents
+), b as (
+    select item_id::varchar as item, {TOKENS} as w from benchmark
+), p as (
+    select distinct item, least(len(w), 10) as m, array_to_string(list_slice(w, s, s + 9), ' ') as win
+    from (select item, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) as s from b where len(w) > 0)
+), places as (
+    select r, w, m, unnest(range(1, len(w) - m + 2)) as s from d cross join (select distinct m from p) where len(w) >= m
+), hits as (
+    select r, s, m, item
+    from (select r, s, m, array_to_string(list_slice(w, s, s + m - 1), ' ') as win from places) join p using (m, win)
+), spans as (
+    select distinct r, unnest(range(s, s + m)) as at from hits
+), n as (
+    select r, count(*) as n_hit from spans group by r
+), i as (
+    select r, count(item) as n_items, string_agg(item, ',' order by item) as items
+    from (select distinct r, item from hits) group by r
+)
+select
+    doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+    sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join n using (r) left join i using (r)
+"""
+
+_ROUNDS = "".join(
+    f""", a{i} as materialized (
+    select r, arg_min(c, (q, c)) as c, min(q) as q
+    from (
+        select v.r, k.c, list_sum(list_transform(list_zip(v.v, k.v), lambda t: (t[1] - t[2]) * (t[1] - t[2])))::bigint as q
+        from v cross join k{i} as k
+    ) group by r
+), m{i} as (
+    select c, list(x order by j) as v
+    from (
+        select c, j, ((s - ((s % n) + n) % n) // n)::bigint as x
+        from (
+            select c, j, sum(x)::hugeint as s, count(*)::hugeint as n
+            from (select a.c, unnest(v.v) as x, generate_subscripts(v.v, 1) as j from a{i} as a join v using (r)) group by c, j
+        )
+    ) group by c
+), k{i + 1} as materialized (
+    select k.c, coalesce(m.v, k.v) as v from k{i} as k left join m{i} as m using (c)
+)"""
+    for i in range(5)
+)
+
+OP13 = f"""
+with v as materialized (
+    select vec_id, row_number() over () as r, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+    from embeddings
+    where len(embedding) = 64 and list_aggregate(list_transform(embedding, lambda x: coalesce(isfinite(x), false)), 'bool_and')
+), k0 as materialized (
+    select row_number() over (order by sha256('2:' || vec_id) nulls last, vec_id, v) - 1 as c, v
+    from v qualify c < 40
+){_ROUNDS}, a as materialized (
+    select r, arg_min(c, (q, c)) as c, min(q) as q
+    from (
+        select v.r, k.c, list_sum(list_transform(list_zip(v.v, k.v), lambda t: (t[1] - t[2]) * (t[1] - t[2])))::bigint as q
+        from v cross join k5 as k
+    ) group by r
+)
+select
+    vec_id, a.c::integer as cluster, q as distance, (sum(q) over (partition by a.c))::bigint as cluster_inertia,
+    (sum(q) over ())::bigint as inertia, sha256(array_to_string(k.v, ',')) as centroid_sha256
+from a join v using (r) join k5 as k on a.c = k.c
+"""
+
 ORACLE: dict[str, str] = {
     "op2_warc": OP2,
     "op3_exact_topk": OP3,
     "op4_chat_format": OP4,
     "op8_quality_rules": OP8,
+    "op11_decontamination": OP11,
+    "op13_centroid_clusters": OP13,
 }

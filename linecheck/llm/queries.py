@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linecheck.llm import bpe, chat, jaccard, language, mixing, quality, repeats, topk, urls, warc
+from linecheck.llm import bpe, chat, clusters, jaccard, language, mixing, quality, repeats, spelling, topk, urls, warc, winnowing
 from linecheck.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,6 +131,20 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op11_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return winnowing.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+def op13_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    rows = clusters.whole_vectors(table(spark, folder, "embeddings"), scale=256)
+    first = F.sha2(F.concat(F.lit("2:"), F.col("vec_id").cast("string")), 256)
+    return clusters.clustered(rows, k=40, rounds=5, first=first)
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_warc": op2_warc,
@@ -142,4 +156,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filters": op9_url_filters,
     "op10_language_id": op10_language_id,
+    "op11_decontamination": op11_decontamination,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
