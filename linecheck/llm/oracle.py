@@ -131,6 +131,65 @@ select
 from d left join n using (r) left join i using (r)
 """
 
+# A checksum is a fold over the bits of the bytes: each byte is mixed in, then shifted out in eight steps.
+OP12 = r"""
+with recursive d as (
+    select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents
+), runs as (
+    select doc_id, run, count(*) as n
+    from (select doc_id, unnest(regexp_extract_all(t, '[a-zÀ-ÿ]+')) as run from d) group by doc_id, run
+), bytes as (
+    select doc_id, run, n, hex(encode(coalesce(doc_id::varchar, '') || ':' || run)) as x from runs
+), sums as (
+    select
+        run, n,
+        xor(list_reduce(
+            list_prepend(4294967295::bigint, flatten(list_transform(
+                range(1, length(x), 2),
+                lambda i: [('0x' || substr(x, i, 2))::bigint, -1, -1, -1, -1, -1, -1, -1, -1]
+            ))),
+            lambda c, b: case when b >= 0 then xor(c, b) else xor(c >> 1, (c & 1) * 3988292384) end
+        ), 4294967295) as h
+    from bytes
+), results as (
+    select
+        case when h % 199 = 0
+        then substr(run, 1, (h % length(run))::bigint) || substr(run, (h % length(run))::bigint + 2) else run end as word,
+        n
+    from sums
+), v as materialized (
+    select word, sum(n)::bigint as n from results where length(word) >= 6 group by word having sum(n) >= 5
+), gaps as materialized (
+    select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest
+    from (select word, n, unnest(range(1, length(word) + 1)) as i from v)
+), pairs as (
+    select distinct * from (
+        select a.word, b.word as near, b.n as near_n from gaps as a join gaps as b using (i, rest) where a.word <> b.word
+        union all
+        select a.word, v.word, v.n from gaps as a join v on v.word = a.rest
+        union all
+        select v.word, a.word, a.n from gaps as a join v on v.word = a.rest
+    )
+), best as (
+    select word, count(*) as n_near, max(near_n) as most from pairs group by word
+), forms as materialized (
+    select word, n_near, most, min(near) as form
+    from best join pairs using (word) where near_n = most group by word, n_near, most
+), rows as materialized (
+    select
+        v.word, v.n, coalesce(n_near, 0)::bigint as n_near,
+        case when most >= 5 * v.n then form end as form, case when most >= 5 * v.n then most end as form_n
+    from v left join forms using (word)
+), chains as (
+    select word, word as root from rows
+    union all
+    select c.word, r.form from chains as c join rows as r on r.word = c.root where r.form is not null
+)
+select rows.word, rows.form, chains.root, rows.n, rows.n_near, rows.form_n
+from rows join chains using (word) join rows as ends on ends.word = chains.root
+where ends.form is null
+"""
+
 _ROUNDS = "".join(
     f""", a{i} as materialized (
     select r, arg_min(c, (q, c)) as c, min(q) as q
@@ -180,5 +239,6 @@ ORACLE: dict[str, str] = {
     "op4_chat_format": OP4,
     "op8_quality_rules": OP8,
     "op11_decontamination": OP11,
+    "op12_spelling_variants": OP12,
     "op13_centroid_clusters": OP13,
 }

@@ -1,0 +1,147 @@
+import itertools
+import random
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from linecheck.llm import spelling
+from linecheck.llm.oracle import OP12
+from tests.llm.cases import awkward_docs, no_docs, prose
+
+COLUMNS = ("word", "form", "root", "n", "n_near", "form_n")
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def restated(docs):
+    """The operator's rows, by comparing all words with all."""
+    total = Counter()
+    for name, text in docs:
+        lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        for run in re.findall("[a-zÀ-ÿ]+", lower):
+            h = zlib.crc32(f"{'' if name is None else name}:{run}".encode())
+            if h % 199 == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1 :]
+            total[run] += 1
+    kept = {w: n for w, n in total.items() if len(w) >= 6 and n >= 5}
+    near = {w: [] for w in kept}
+    for a, b in itertools.combinations(kept, 2):
+        if abs(len(a) - len(b)) < 2 and one_edit(a, b):
+            near[a].append(b)
+            near[b].append(a)
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda x: (-kept[x], x), default=None)
+        form[w] = best if best and kept[best] >= 5 * kept[w] else None
+
+    def root(w):
+        while form[w]:
+            w = form[w]
+        return w
+
+    return sorted((w, form[w] or "", root(w), n, len(near[w]), kept.get(form[w], 0)) for w, n in kept.items())
+
+
+def found_rows(docs):
+    rows = spelling.variants(docs).select(*COLUMNS).collect()
+    return sorted((r.word, r.form or "", r.root, r.n, r.n_near, r.form_n or 0) for r in rows)
+
+
+def families(seed):
+    """Documents of words and their misspellings, some of them of misspellings again."""
+    rnd = random.Random(seed)
+    letters = "abcdeéÿ×"
+    docs = []
+    for _ in range(12):
+        word = "".join(rnd.choice(letters) for _ in range(rnd.randint(5, 9)))
+        for times in (500, 90, 12, 5):
+            docs.append((len(docs), " ".join([word] * times)))
+            for _ in range(3):
+                i = rnd.randrange(len(word))
+                edits = [word[:i] + word[i + 1 :], word[:i] + rnd.choice(letters) + word[i + 1 :], word[:i] + rnd.choice(letters) + word[i:]]
+                docs.append((len(docs), "-".join([rnd.choice(edits)] * (times // 5 or 1))))
+            word = rnd.choice(edits)
+    return docs
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_families_of_words(spark, seed):
+    docs = families(seed)
+    found = found_rows(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert found == restated(docs)
+    assert any(r[1] for r in found) and any(r[2] not in (r[0], r[1]) for r in found)
+
+
+def test_equals_sql(spark):
+    docs = [*families(7), (None, "Maßstab MAẞSTAB " * 9), (None, None), (5, "abcdef " * 7)]
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", docs)
+    wanted = con.execute(f"select {', '.join(COLUMNS)} from ({OP12})").fetchall()
+    assert found_rows(spark.createDataFrame(docs, "doc_id long, text string")) == sorted(
+        (w, f or "", r, n, m, k or 0) for w, f, r, n, m, k in wanted
+    )
+
+
+def test_awkward_documents(spark):
+    docs = awkward_docs(spark, clashes=True)
+    assert found_rows(docs) == restated([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_long_runs_and_long_texts(spark):
+    long = "ab" * 3000
+    docs = [(1, f"{long} " * 5), (2, f"{long[:-1]} " * 30), (3, f"{long[:50]}x{long[51:]} " * 5), (4, prose(9, 60_000))]
+    assert found_rows(spark.createDataFrame(docs, "doc_id long, text string")) == restated(docs)
+
+
+def test_small_filters_and_several_rounds(spark, monkeypatch):
+    """Every filter in a broadcast of its own, words of one length in several filters."""
+    docs = families(11)
+    monkeypatch.setattr(spelling, "FILTER_WORDS", 5)
+    monkeypatch.setattr(spelling, "BROADCAST", 64)
+    monkeypatch.setattr(spelling, "EDITS", 50)
+    assert found_rows(spark.createDataFrame(docs, "doc_id long, text string")) == restated(docs)
+
+
+def test_texts_in_parts_cut_no_run(monkeypatch):
+    monkeypatch.setattr(spelling, "PIECE", 7)
+    text = "abcdefghijkl é×ÿab, x yz\nĀabc漢字ab".encode()
+    parts = list(spelling._parts(text))
+    assert b"".join(parts) == text and len(parts) > 2
+    assert [r for p in parts for r in spelling.RUN.findall(p)] == spelling.RUN.findall(text)
+
+
+def test_all_edits_are_generated_once():
+    alphabet = np.sort(spelling.codes("abcé"))
+    words = ["aabc", "bbbb", "éabc"]
+    letters = np.stack([spelling.codes(w) for w in words])
+    found = Counter((size, row, h) for size, rows, hs in spelling.edits(letters, alphabet) for row, h in zip(rows.tolist(), hs.tolist(), strict=True))
+    assert set(found.values()) == {1}
+    for row, word in enumerate(words):
+        wanted = {word[:i] + word[i + 1 :] for i in range(len(word))}
+        wanted |= {word[:i] + c + word[i + 1 :] for i in range(len(word)) for c in "abcé" if c > word[i]}
+        assert {(len(w), row, int(spelling.hashes(spelling.codes(w)[None])[0])) for w in wanted} == {k for k in found if k[1] == row}
+
+
+def test_filters_hold_their_words():
+    words = np.random.RandomState(1).randint(0, 2**62, 20_000, dtype=np.int64).astype(np.uint64)
+    made = spelling.bloom(words[:10_000])
+    assert len(spelling.held(words[:10_000], made)) == 10_000
+    assert len(spelling.held(words[10_000:], made)) < 200
+
+
+def test_no_rows(spark):
+    assert found_rows(no_docs(spark)) == []
+    assert found_rows(no_docs(spark).withColumn("form", F.lit(1))) == []
+    assert found_rows(spark.createDataFrame([(1, "short only " * 9)], "doc_id long, text string")) == []
