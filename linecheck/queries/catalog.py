@@ -14,10 +14,12 @@ from linecheck.operators import increments, keyed, report, stacking, timeline
 from linecheck.operators.measured import written
 from linecheck.operators.prepare import listed_models, prepare, typed_lines
 from linecheck.operators.template import missing_templates, template_positions, template_sizes
-from linecheck.plans import classify
+from linecheck.plans import classify, inspection
 from linecheck.queries import inputs
 from linecheck.session import fresh_path
-from linecheck.sources import files, tables
+from linecheck.sources import files, tables, versions
+from linecheck.sources.keyed_files import KeyedFiles
+from linecheck.sources.versions import VersionedTable
 from linecheck.streaming import inspect
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -184,6 +186,110 @@ def keyed_update(spark: SparkSession, folder: str) -> DataFrame:
     return keyed.update(inputs.table(spark, folder, "customer"), rows, ["c_custkey"])
 
 
+def results_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdicts appended by three runs: one is repeated, and two overlap, of which one is repeated too."""
+    table = VersionedTable(spark, fresh_path(spark, "results"))
+    verdicts = written(sample_verdicts(spark, folder), "verdicts")
+    table.create(verdicts.schema)
+    part = F.coalesce(sum((F.col("datetime") >= time).cast("int") for time in ARRIVALS), F.lit(0))
+    first, second, third = (verdicts.where(part == n) for n in range(3))
+    for _ in range(2):
+        table.append(first, run="first")
+
+    # The second run has written its files when the third commits, so it has to look again.
+    properties = table.properties()
+    seen = table.version()
+    late = table.note(table.described(table.write(second), properties), properties)
+    table.append(third, run="third")
+    if not table.publish(seen, [late], run="second"):
+        table.commit(lambda _: [late], run="second")
+    table.append(second, run="second")
+    return table.read()
+
+
+def _customer_files(spark: SparkSession, folder: str) -> tuple[KeyedFiles, DataFrame]:
+    """The customers as a keyed table of some files in each of eight buckets, and the customers themselves."""
+    rows = inputs.table(spark, folder, "customer")
+    table = KeyedFiles.create(
+        spark, fresh_path(spark, "customers"), rows.schema, ["c_custkey"], buckets=8, file_rows=max(50, rows.count() // 32)
+    )
+    table.insert(rows)
+    return table, rows
+
+
+def files_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    table, _ = _customer_files(spark, folder)
+    table.upsert(stacking.stack_by_name([inputs.changed_customers(spark, folder), inputs.new_customers(spark, folder)]))
+    return table.read()
+
+
+def files_update(spark: SparkSession, folder: str) -> DataFrame:
+    table, _ = _customer_files(spark, folder)
+    table.update(inputs.changed_customers(spark, folder).select("c_custkey", "c_acctbal"))
+    return table.read()
+
+
+def merged_deltas(spark: SparkSession, folder: str) -> DataFrame:
+    """A table with three deltas, as merged on reading, and as compacted."""
+    table, rows = _customer_files(spark, folder)
+    table.insert(inputs.new_customers(spark, folder))
+    table.merge(inputs.changed_customers(spark, folder))
+    # Changes some customers for the second time, and some of the new ones.
+    again = F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))
+    every = rows.withColumn("c_acctbal", again).unionByName(inputs.new_customers(spark, folder))
+    table.merge(every.where(F.col("c_nationkey") < 5).withColumn("c_acctbal", F.col("c_acctbal") + 100))
+    merged = table.read()
+    table.compact()
+    return stacking.stack_tagged({"merged": merged, "compacted": table.read()})
+
+
+def _zoned(spark: SparkSession, folder: str) -> VersionedTable:
+    """Readings that arrive in three parts, with the times and machines of every file noted."""
+    rows = written(inputs.readings(spark, folder), "readings")
+    table = VersionedTable(spark, fresh_path(spark, "zoned"))
+    table.create(rows.schema, ["datetime", "equipmentid"])
+    for n in range(len(ARRIVALS) + 1):
+        table.append(rows.where(_period() == n), run=str(n), arrange=lambda part: part.repartitionByRange("datetime", "equipmentid"))
+    return table
+
+
+def zoned_since_mark(spark: SparkSession, folder: str) -> DataFrame:
+    """Readings after a mark, from the files that may have some."""
+    return versions.rows_after(_zoned(spark, folder), "datetime", ARRIVALS[0]).select("linenmb", "equipmentid", "mcid", "datetime")
+
+
+def zoned_mark(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest time, from what is noted of the files."""
+    return versions.newest(_zoned(spark, folder), "datetime")
+
+
+def whole_job(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdicts of the inspection job: readings up to a mark, then all, then what was kept back."""
+    root = fresh_path(spark, "job")
+    rows = inputs.readings(spark, folder).withColumn("datetime", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss"))
+    templates = inputs.template_rows(spark, folder)
+    templates = templates.withColumn("file", F.concat("model_key", F.lit(S.TEMPLATE_SUFFIX))).drop("model_key")
+    templates.repartition("file").write.partitionBy("file").option("header", True).csv(f"{root}/templates")
+    inputs.model_list(spark, folder).write.option("header", True).csv(f"{root}/models")
+    inputs.equipment(spark, folder).write.option("header", True).csv(f"{root}/equipment")
+    settings = inspection.Settings(
+        readings=f"{root}/readings",
+        templates=f"{root}/templates",
+        model_list=f"{root}/models",
+        equipment=f"{root}/equipment",
+        verdicts=f"{root}/verdicts",
+        reports=f"{root}/reports",
+        mark=f"{root}/mark",
+        withhold_open=True,
+    )
+    early = F.col("datetime") <= inputs.MARK
+    for part in (rows.where(early), rows.where(~early)):
+        part.write.mode("append").parquet(settings.readings)
+        inspection.run_inspection(spark, settings)
+    inspection.close_inspection(spark, settings)
+    return spark.read.schema(S.VERDICTS).parquet(f"{settings.verdicts}/*")
+
+
 def cutoff_rows(spark: SparkSession, folder: str) -> DataFrame:
     first = fn.midnight(F.lit("1997-05-20").cast("date"))
     rows = increments.from_day(inputs.readings(spark, folder), first.cast("timestamp_ntz"))
@@ -366,6 +472,13 @@ QUERIES: dict[str, Query] = {
         keyed_insert,
         keyed_upsert,
         keyed_update,
+        results_once,
+        files_upsert,
+        files_update,
+        merged_deltas,
+        zoned_since_mark,
+        zoned_mark,
+        whole_job,
         cutoff_rows,
         number_texts,
         url_suffixes,

@@ -155,6 +155,13 @@ seen{_n} as (
 taken{_n} as (
   select * from taken{_n - 1} union all select * exclude (open_from, late) from seen{_n} where not late)"""
 
+UPDATED = """
+  select c_custkey, c_name, c_nationkey,
+         case when c_mktsegment = 'BUILDING' then c_acctbal + 1 else c_acctbal end as c_acctbal, c_mktsegment
+  from customer"""
+
+UPSERTED = f"{UPDATED} union all {NEW_CUSTOMERS}"
+
 ORACLE: dict[str, str] = {
     "scan_since_mark": f"""with {READINGS}
         select linenmb, equipmentid, mcid, datetime from readings
@@ -230,14 +237,22 @@ ORACLE: dict[str, str] = {
                     then 'test' else 'train' end as part
         from embeddings""",
     "keyed_insert": f"select * from customer union all {NEW_CUSTOMERS}",
-    "keyed_upsert": f"""
-        select c_custkey, c_name, c_nationkey,
-               case when c_mktsegment = 'BUILDING' then c_acctbal + 1 else c_acctbal end as c_acctbal, c_mktsegment
-        from customer union all {NEW_CUSTOMERS}""",
-    "keyed_update": """
-        select c_custkey, c_name, c_nationkey,
-               case when c_mktsegment = 'BUILDING' then c_acctbal + 1 else c_acctbal end as c_acctbal, c_mktsegment
-        from customer""",
+    "keyed_upsert": UPSERTED,
+    "keyed_update": UPDATED,
+    "results_once": f"{VERDICTS} select * from verdicts",
+    "files_upsert": UPSERTED,
+    "files_update": UPDATED,
+    "merged_deltas": f"""
+        with once as ({UPSERTED}),
+        twice as (
+          select * replace (case when c_nationkey < 5 then c_acctbal + 100 else c_acctbal end as c_acctbal) from once)
+        select *, unnest(['merged', 'compacted']) as part from twice""",
+    "zoned_since_mark": f"""with {READINGS}
+        select linenmb, equipmentid, mcid, datetime from readings where datetime > timestamp '1997-07-01'""",
+    "zoned_mark": f"with {READINGS} select max(datetime) as datetime from readings",
+    "whole_job": f"""{VERDICTS}
+        select equipmentid, mcid, strftime(datetime, '%Y-%m-%d %H:%M:%S') as datetime, code, description
+        from verdicts""",
     "cutoff_rows": f"""with {READINGS}
         select linenmb, equipmentid, datetime from readings where datetime >= timestamp '1997-05-20 00:00:00'""",
     "number_texts": f"""
