@@ -123,6 +123,17 @@ def _steps(lane: Lane, lines: DataFrame) -> DataFrame:
     )
 
 
+def sample_steps(lines: DataFrame, *, slot: str | Column = "day", limit: int | None = DEFAULT_LIMIT) -> DataFrame:
+    """Every line of every sample: position, reported number and distances to the line before.
+
+    With a ``limit``, samples with more lines than that stay together in one task all the same, as
+    their lines have one order; the sort spills.
+    """
+    columns = [*SAMPLE, "n_lines", "pos", "line", "lead_step", "pad_step"]
+    frames = [_steps(lane, lane.lines).select(*columns) for lane in sample_lanes(lines, slot, limit)]
+    return reduce(DataFrame.unionByName, frames)
+
+
 def _compared(lines: DataFrame, templates: DataFrame, slot: str | Column, limit: int | None) -> list[Lane]:
     """Lines joined to the template line of their position, lane by lane."""
     std = template_positions(templates).drop("line")

@@ -5,7 +5,8 @@ has started. Within one history (a machine and a model, say) that is a running
 maximum of the marker times, one window and one shuffle. That is the plan as long as
 a task can sort the largest history (``limit`` rows, measured).
 
-Beyond that, histories are cut into time slots:
+Beyond that, histories are cut into time slots. The rows are stored first, so that their source is
+read twice at most: for the size of the largest history, and for the rows themselves.
 
 1. ``slot_table`` counts rows and marker times per history and slot. A slot is a
    day, say; one with more than ``limit`` rows is cut into hours, those into minutes, then
@@ -34,7 +35,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
 from linecheck.operators.lookup import lookup, on
-from linecheck.operators.measured import is_small, small_side, written
+from linecheck.operators.measured import small_side, written
 
 DEFAULT_LIMIT = 2_000_000
 
@@ -101,17 +102,13 @@ def _before(keys: Sequence[str]) -> WindowSpec:
 
 def _carried(
     rows: DataFrame, keys: Sequence[str], time: str, marker: Column, levels: Sequence[Column], limit: int
-) -> tuple[DataFrame, list[DataFrame]] | None:
+) -> tuple[DataFrame, list[DataFrame]]:
     """Slots with the last marker before them and its home; per level the slots that are cut further."""
     slots: DataFrame | None = None
     cuts: list[DataFrame] = []
     inside, owner = rows, list(keys)
     for depth, level in enumerate(levels):
         facts = written(_facts(inside, owner, level, time, marker), "slots")
-        if not depth:
-            histories = facts.groupBy(*keys).agg(F.sum("slot_rows").alias("history_rows"))
-            if histories.where(F.col("history_rows") > limit).isEmpty():
-                return None
         facts = facts.withColumn("carried", F.max("last_mark").over(_before(owner)))
         if depth:
             outer = cuts[-1].withColumnRenamed("carried", "outer")
@@ -139,16 +136,13 @@ def _carried(
 
 def slot_table(
     rows: DataFrame, keys: Sequence[str], time: str, marker: Column, levels: Sequence[Column], limit: int
-) -> tuple[DataFrame, list[DataFrame], DataFrame | None] | None:
+) -> tuple[DataFrame, list[DataFrame], DataFrame | None]:
     """The slots of every history, those that are cut, level by level, and the settled samples.
 
-    None if no history has more than ``limit`` rows. Of a slot the rows from ``own_from`` on
+    Of a slot the rows from ``own_from`` on
     have their home in it; all others start at ``known_start`` and have ``known_home``.
     """
-    carried = _carried(rows, keys, time, marker, levels, limit)
-    if carried is None:
-        return None
-    slots, cuts = carried
+    slots, cuts = _carried(rows, keys, time, marker, levels, limit)
     marked = F.col("first_mark").isNotNull()
     slots = written(slots.withColumn("one_sample", F.col("single_time") | ~marked), "carried").withColumn(
         "slot_sample", F.when(F.col("one_sample"), F.coalesce("first_mark", "carried"))
@@ -188,13 +182,14 @@ def place(
     if limit is None:
         return None
     # Whether the times can be cut must not depend on how many there are.
-    levels = levels_of(rows, time, width)
-    if is_small(rows, limit):
+    levels_of(rows, time, width)
+    histories = rows.groupBy(*keys).agg(F.count("*").alias("history_rows"))
+    if (histories.agg(F.max("history_rows")).first()[0] or 0) <= limit:
         return None
-    tables = slot_table(rows, keys, time, marker, levels, limit)
-    if tables is None:
-        return None
-    slots, cuts, settled = tables
+    # What follows reads the rows several times; their source is read this once more.
+    rows = written(rows, "cut-rows")
+    levels = levels_of(rows, time, width)
+    slots, cuts, settled = slot_table(rows, keys, time, marker, levels, limit)
     cut = rows.withColumn("row_slot", levels[0])
     for crowded, finer in zip(cuts, levels[1:], strict=False):
         crowded = crowded.withColumn("crowded", F.lit(True))
@@ -210,7 +205,7 @@ def place(
         "own",
         "settled",
     )
-    return Placed(placed, settled)
+    return Placed(placed if settled is None else written(placed, "placed"), settled)
 
 
 def calm_rows(

@@ -116,8 +116,11 @@ def template_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def line_steps(spark: SparkSession, folder: str) -> DataFrame:
-    rows = checks.full_samples(inputs.lines(spark, folder), inputs.templates(spark, folder))
-    return rows.select(*checks.SAMPLE, "pos", "line", "lead_step", "pad_step")
+    return checks.sample_steps(inputs.lines(spark, folder))
+
+
+def line_steps_in_slots(spark: SparkSession, folder: str) -> DataFrame:
+    return checks.sample_steps(inputs.lines(spark, folder), **NARROW)
 
 
 def line_offsets(spark: SparkSession, folder: str) -> DataFrame:
@@ -374,6 +377,20 @@ def template_files(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_templates(spark, path)
 
 
+def template_kinds(spark: SparkSession, folder: str) -> DataFrame:
+    """The templates in three files of different kinds, each read as the end of its name says."""
+    path = fresh_path(spark, "kinds")
+    rows = inputs.template_rows(spark, folder)
+    kinds = {"csv": lambda w, to: w.option("header", True).csv(to), "json": lambda w, to: w.json(to), "parquet": lambda w, to: w.parquet(to)}
+    schema = rows.schema
+    parts = []
+    for n, (kind, write) in enumerate(kinds.items()):
+        to = f"{path}/part.{kind}"
+        write(rows.where(F.pmod(F.crc32("model_key"), F.lit(len(kinds))) == n).write, to)
+        parts.append(files.read_by_suffix(spark, to, schema).withColumn("kind", F.lit(kind)))
+    return stacking.stack_by_name(parts)
+
+
 def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "equipment")
     inputs.equipment(spark, folder).write.option("header", True).csv(path)
@@ -458,6 +475,7 @@ QUERIES: dict[str, Query] = {
         template_lines,
         template_counts,
         line_steps,
+        line_steps_in_slots,
         line_offsets,
         sample_codes,
         sample_verdicts,
@@ -490,6 +508,7 @@ QUERIES: dict[str, Query] = {
         closed_rows,
         withheld_runs,
         template_files,
+        template_kinds,
         csv_scan,
         json_scan,
         parquet_scan,

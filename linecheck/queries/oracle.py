@@ -155,6 +155,16 @@ seen{_n} as (
 taken{_n} as (
   select * from taken{_n - 1} union all select * exclude (open_from, late) from seen{_n} where not late)"""
 
+LINE_STEPS = f"""{CHECKED}
+  select equipmentid, mcid, sample_ts, n_lines, pos, line, lead_step, pad_step from steps"""
+
+# A checksum as a fold over the bits of the bytes: each byte is mixed in, then shifted out in eight steps.
+CRC32 = """xor(list_reduce(
+  list_prepend(4294967295::bigint, flatten(list_transform(
+    range(1, length(hex(encode({0}))), 2),
+    lambda i: [('0x' || substr(hex(encode({0})), i, 2))::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda c, b: case when b >= 0 then xor(c, b) else xor(c >> 1, (c & 1) * 3988292384) end), 4294967295)"""
+
 UPDATED = """
   select c_custkey, c_name, c_nationkey,
          case when c_mktsegment = 'BUILDING' then c_acctbal + 1 else c_acctbal end as c_acctbal, c_mktsegment
@@ -195,9 +205,8 @@ ORACLE: dict[str, str] = {
     "template_lines": f"""with {TEMPLATES}
         select model_key, pos, line, lead_diff, pad_diff, lead_limit, pad_limit, n_std from std""",
     "template_counts": f"with {TEMPLATES} select model_key, count(*)::int as n_std from template group by model_key",
-    "line_steps": f"""{CHECKED}
-        select equipmentid, mcid, sample_ts, pos, line, lead_step, pad_step
-        from compared where n_lines = n_std""",
+    "line_steps": LINE_STEPS,
+    "line_steps_in_slots": LINE_STEPS,
     "line_offsets": f"""{CHECKED}
         select equipmentid, mcid, sample_ts, pos, lead_offset, pad_offset, bad::int as bad
         from compared where n_lines = n_std""",
@@ -285,6 +294,8 @@ ORACLE: dict[str, str] = {
     "template_files": f"""with {TEMPLATES}
         select model_key, line, lead_diff, pad_diff, lead_limit, pad_limit from template""",
     "json_scan": f"with {TEMPLATES} {TEMPLATE_FILE}",
+    "template_kinds": f"""with {TEMPLATES}, files as ({TEMPLATE_FILE})
+        select *, ['csv', 'json', 'parquet'][({CRC32.format("model_key")} % 3 + 1)::int] as kind from files""",
     "csv_scan": f"with {EQUIPMENT} select * from equipment",
     "parquet_scan": "select * from part",
     "streamed_verdicts": f"""{VERDICTS}

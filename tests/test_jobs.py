@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 import golden
 import restated
 from linecheck import schemas as S
+from linecheck.operators import check as checks
 from linecheck.operators import increments, report, stacking
 from linecheck.operators.check import check
-from linecheck.operators.prepare import listed_models, typed_lines
-from linecheck.plans import classify
+from linecheck.operators.prepare import listed_models, prepare, typed_lines
+from linecheck.plans import classify, inspection
 from linecheck.plans.inspection import Settings, close_inspection, read_settings, run_inspection
 from linecheck.sources import tables
 from linecheck.sources.files import read_mark, read_templates
+from linecheck.sources.versions import CommitConflict, VersionedTable
 from linecheck.streaming import inspect
 from test_check import as_templates, ordered
 
@@ -156,6 +158,63 @@ def test_broken_run_is_simply_repeated(spark, tmp_path, withhold_open):
     assert plant.verdicts() == ordered(wanted)
 
 
+def test_a_table_of_results_has_every_verdict_once(spark, tmp_path, monkeypatch):
+    """One run breaks off after its commit, one before, and two start from the same mark."""
+    plant = Plant(spark, tmp_path, results=str(tmp_path / "results"))
+    table = VersionedTable(spark, plant.settings.results)
+
+    def broken(*_):
+        raise RuntimeError("broken")
+
+    plant.add(golden.READINGS[:12])
+    with monkeypatch.context() as patch:
+        patch.setattr(inspection, "_take_over", broken)
+        with pytest.raises(RuntimeError):
+            plant.run()
+    assert table.read().count() == 0
+    with monkeypatch.context() as patch:
+        patch.setattr(inspection, "write_mark", broken)
+        with pytest.raises(RuntimeError):
+            plant.run()
+    first = table.read().count()
+    assert first and plant.run().upto is None and table.read().count() == first
+
+    plant.add(golden.READINGS[12:])
+    take_over = inspection._take_over
+    with monkeypatch.context() as patch:
+
+        def late(results, verdicts, mark, newest, settings):
+            patch.setattr(inspection, "_take_over", take_over)
+            results.commit(lambda seen: [], golden.DAY + "08:00:59")
+            take_over(results, verdicts, mark, newest, settings)
+
+        patch.setattr(inspection, "_take_over", late)
+        with pytest.raises(CommitConflict):
+            plant.run()
+    assert table.read().count() == first
+
+
+def test_the_source_is_read_twice_at_most(spark):
+    """Readings counted as they are read, with and without slots and settled samples."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = [(1 + n % 5, f"E{n % 2}", "M1", f"2021-04-{1 + n % 28:02d} 08:00:{n % 7:02d}", str(n % 11), "0", "0", "0") for n in range(900)]
+    rows += [(1, "E0", "M1", "2021-04-23 09:00:00", "0", "0", "0", "0")] * 300
+    rows = spark.createDataFrame(rows, S.LINES)
+    lines = typed_lines(rows.mapInArrow(counted, rows.schema))
+    templates = as_templates(spark, {"M1": [(1, 0.0, 0.0, 0.5, 0.5), (2, 5.0, 3.0, 0.5, 0.5), (3, 5.0, 3.0, 0.5, 0.5)]})
+    for limit in (10_000, 100, 12):
+        for job in (lambda: check(lines, templates, limit=limit), lambda: checks.sample_sizes(lines, limit=limit), lambda: prepare(rows.mapInArrow(counted, rows.schema), limit=limit)):
+            before = read.value
+            job().write.format("noop").mode("overwrite").save()
+            assert (read.value - before) / 1200 <= 2
+
+
 def ticking_readings(seed):
     """Samples of two machines in time order, some lines missing or out of place."""
     rng = random.Random(seed)
