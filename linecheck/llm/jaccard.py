@@ -1,10 +1,10 @@
 """Near duplicates by a grouped prefix join on word n-grams.
 
-The n-grams of a document are put in one order for all documents, rare ones first. Two sets
-that are similar enough share some of the first n-grams of that order (their prefixes). Sets
-with the same size and prefix form one group; pairs of groups are filtered by size and by
-the number of n-grams their prefixes share; groups that may hold links are expanded and
-their members compared exactly.
+The n-grams of a document are put in one order for all documents, frequent ones last, by exact
+counts. Two sets that are similar enough share some of the first n-grams of that order (their
+prefixes). Sets with the same size and prefix form one group; pairs of groups are filtered by
+size and by the number of n-grams their prefixes share; groups that may hold links are expanded
+and their members compared exactly, under an n-gram that both prefixes have.
 
 Sets are sets of 64-bit hashes of n-grams, which matter only between two documents that are
 compared; ids of sets and groups have 128 bits.
@@ -16,28 +16,37 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linecheck.llm.common import as_bytes, free_name, mixed, numbered, stored, window_hashes, word_hashes
 from linecheck.llm.graph import components
-
-# The order of n-grams rests on how often they occur, counted in this many cells (a power of
-# two). It decides how much work there is, not what is found. The counts are sent to every
-# task, one byte per cell, so the size is fixed.
-CELL_BITS = 22
-CHUNK = 1 << 14
+from linecheck.operators.measured import small_side
 
 # N-grams that prefixes must share (fewer in small sets); prefixes are that much longer.
 SHARED = 3
 
 # Lists of groups with a common n-gram: up to this length all pairs of the list are
 # candidates, longer ones are tied together and compared in blocks.
-SHORT = 64
+SHORT = 24
+
+# N-grams of more than SHORT documents go to the back of the order, the most frequent last. At
+# most so many are sent to the tasks; if there are more, the least frequent stay in front. The
+# order decides how much work there is, not what is found.
+FREQUENT = 1 << 21
+
+# Frequencies are counted by the upper bits of hashes: those of a range, of which there is one for
+# so many documents, and five bytes more. A task sends on so many n-grams at once.
+RANGE_DOCS = 20_000
+NUMBER_BYTES = 5
+HELD = 1 << 20
+
+# Rows of texts to compare up to which their names are broadcast.
+SMALL = 200_000
 
 # Sets, and n-grams, per block of a cluster; two blocks are compared by one task.
 BLOCK_SETS = 256
-BLOCK_GRAMS = 1 << 21
+BLOCK_GRAMS = 1 << 20
 
 
 def grams(text: bytes, size: int) -> np.ndarray:
@@ -61,62 +70,79 @@ def prefix_length(n: int, percent: int) -> int:
     return n - least + min(SHARED, least)
 
 
-def _counted(docs: DataFrame, size: int) -> np.ndarray:
-    """Class of every cell, from the n-grams of all documents: 0 unless it holds far more than most."""
-    cells = 1 << CELL_BITS
+def _frequent(docs: DataFrame, size: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.uint64]:
+    """The frequent n-grams (upper bits of their hashes, ascending), their classes by powers of two, and the bits left out.
 
-    def emit(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for start in range(0, cells, CHUNK):
-            chunk = counts[start : start + CHUNK]
-            if chunk.any():
-                yield pa.RecordBatch.from_pydict(
-                    {"chunk": pa.array([start // CHUNK], pa.int32()), "counts": pa.array([chunk.astype("<u8").tobytes()])}
-                )
+    Counted are the first n-grams of every document in the order of hashes, half as many again as
+    its prefix has; others get into a prefix only where most of the first are frequent.
+    """
+    bits = min(24, max(8, (docs.count() // RANGE_DOCS).bit_length()))
+    shift = np.uint64(64 - 8 * NUMBER_BYTES - bits)
+    low = np.uint64((1 << bits) - 1)
+
+    def packed(values: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Sorted numbers and how often each occurs, by ranges of their lowest bits."""
+        numbers, times = np.unique(values >> shift, return_counts=True)
+        part = (numbers & low).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        numbers, times, part = numbers[order] >> np.uint64(bits), times[order], part[order]
+        at = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        cuts = [*at.tolist(), len(part)]
+        rows = list(zip(cuts[:-1], cuts[1:], strict=True))
+        yield pa.RecordBatch.from_pydict(
+            {
+                "part": pa.array(part[at], pa.int32()),
+                "numbers": pa.array([numbers[i:j].view(np.uint8).reshape(-1, 8)[:, :NUMBER_BYTES].tobytes() for i, j in rows]),
+                "times": pa.array([times[i:j].astype("<u4").tobytes() for i, j in rows]),
+            }
+        )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(cells, np.uint32)
-        seen = 0
+        held, n = [], 0
         for batch in batches:
             for text in batch.column(0):
-                found = (grams(text.as_py(), size) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
-                if seen + len(found) >= 1 << 32:
-                    yield from emit(counts)
-                    counts[:], seen = 0, 0
-                seen += len(found)
-                np.add.at(counts, found, np.uint32(1))
-        yield from emit(counts)
-
-    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                more = np.frombuffer(counts.as_py(), "<u8")
-                total[chunk] = total[chunk] + more if chunk in total else more
-        for chunk, counts in total.items():
-            yield pa.RecordBatch.from_pydict(
-                {"chunk": pa.array([chunk], pa.int32()), "counts": pa.array([counts.tobytes()])}
-            )
-
-    schema = "chunk int, counts binary"
-    parts = docs.select("text").mapInArrow(count, schema)
-    parts = parts.repartition("chunk").mapInArrow(added, schema)
-    total = np.zeros(cells, np.float32)
-    for row in parts.toLocalIterator():
-        total[row.chunk * CHUNK : row.chunk * CHUNK + CHUNK] += np.frombuffer(row.counts, "<u8").astype(np.float32)
-    most = max(4 * total.mean(dtype=np.float64), 1)
-    classes = np.empty(cells, np.uint8)
-    for start in range(0, cells, CHUNK):
-        many = total[start : start + CHUNK] / most
-        classes[start : start + CHUNK] = np.floor(np.log2(np.maximum(many, 0.5)) + 1)
-    return classes
+                values = grams(text.as_py(), size)
+                head = values[: -(-3 * prefix_length(len(values), percent) // 2)]
+                held.append(head)
+                n += len(head)
+                if n >= HELD:
+                    yield from packed(np.concatenate(held))
+                    held, n = [], 0
+        if n:
+            yield from packed(np.concatenate(held))
+
+    def add(table: pa.Table) -> pa.Table:
+        raw = np.frombuffer(b"".join(table.column("numbers").to_pylist()), np.uint8).reshape(-1, NUMBER_BYTES)
+        numbers = np.zeros((len(raw), 8), np.uint8)
+        numbers[:, :NUMBER_BYTES] = raw
+        numbers = numbers.view("<u8").ravel()
+        times = np.frombuffer(b"".join(table.column("times").to_pylist()), "<u4")
+        order = np.argsort(numbers, kind="stable")
+        numbers, times = numbers[order], times[order]
+        at = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1]))
+        total = np.add.reduceat(times.astype(np.int64), at)
+        many = total > SHORT
+        part = np.uint64(table.column("part")[0].as_py())
+        return pa.table({"number": pa.array((numbers[at][many] << np.uint64(bits) | part).astype(np.int64)), "n": pa.array(total[many])})
+
+    parts = docs.select("text").mapInArrow(count, "part int, numbers binary, times binary")
+    counted = stored(parts.groupBy("part").applyInArrow(add, "number long, n long"), "gram-counts")
+    least = SHORT
+    while counted.where(F.col("n") > least).count() > FREQUENT:
+        least *= 2
+    table = counted.where(F.col("n") > least).toArrow()
+    numbers = table.column("number").to_numpy().astype(np.uint64)
+    order = np.argsort(numbers)
+    classes = np.floor(np.log2(table.column("n").to_numpy() / least)).astype(np.uint8) + np.uint8(1)
+    return numbers[order], classes[order], shift
 
 
 def _sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Per row: ``doc_id``, ``mark`` of its text, ``n``, ``set_id``, ``group_id`` and ``prefix``; the last three null for an empty set."""
-    sent = docs.sparkSession.sparkContext.broadcast(_counted(docs, size))
+    sent = docs.sparkSession.sparkContext.broadcast(_frequent(docs, size, percent))
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = sent.value
+        frequent, classes, shift = sent.value
         for batch in batches:
             n, sets, groups, prefixes = [], [], [], []
             for text in batch.column(1):
@@ -127,8 +153,12 @@ def _sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
                     groups.append(None)
                     prefixes.append(None)
                     continue
-                rank = classes[(values >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
-                ordered = values[np.argsort(rank, kind="stable")] if rank.any() else values
+                ordered = values
+                if len(frequent):
+                    numbers = values >> shift
+                    at = np.minimum(np.searchsorted(frequent, numbers), len(frequent) - 1)
+                    rank = np.where(frequent[at] == numbers, classes[at], 0)
+                    ordered = values[np.argsort(rank, kind="stable")] if rank.any() else values
                 prefix = ordered[: prefix_length(len(values), percent)]
                 sets.append(digest(values))
                 groups.append(digest(np.append(prefix, np.uint64(len(values)))))
@@ -158,26 +188,40 @@ def _wanted(n: Column, percent: int) -> Column:
     return F.least(F.lit(SHARED), F.ceil(n * percent / 100))
 
 
+def _label(kind: int, value: Column) -> Column:
+    return F.xxhash64(F.lit(kind), value)
+
+
 def _candidates(groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a``, ``b`` of groups such that all groups with links are connected by them."""
+    """Rows ``gid``, ``label``, once each: groups that may have links share a label.
+
+    A pair of groups that passes the filter is compared under its smallest common n-gram; groups
+    that share n-grams with long lists only, under the hub that they are tied to.
+    """
     listed = groups.select("gid", "n", F.explode("prefix").alias("gram"))
-    lists = listed.groupBy("gram").agg(F.count("*").alias("length")).where("length > 1")
-    shared = stored(listed.join(lists, "gram"), "gram-lists")
+    lists = Window.partitionBy("gram")
+    shared = stored(listed.withColumn("length", F.count("*").over(lists)).where("length > 1"), "gram-lists")
 
     short = shared.where(F.col("length") <= SHORT)
     left = short.select("gram", F.col("gid").alias("a"), F.col("n").alias("n_a"))
     right = short.select("gram", F.col("gid").alias("b"), F.col("n").alias("n_b"))
     met = left.join(right, "gram").where((F.col("a") < F.col("b")) & _near(F.col("n_a"), F.col("n_b"), percent))
-    met = met.groupBy("a", "b").agg(F.count("*").alias("met"), F.min(F.least("n_a", "n_b")).alias("n"))
+    met = met.groupBy("a", "b").agg(F.count("*").alias("met"), F.min(F.least("n_a", "n_b")).alias("n"), F.min("gram").alias("gram"))
 
     # Places in long lists are counted per group only: a pair shares at most the smaller
     # number of the two. Pairs that may reach the wanted number that way stay.
     long = shared.where(F.col("length") > SHORT)
     counts = long.groupBy("gid").agg(F.count("*").alias("places"))
-    for side in ("a", "b"):
-        met = met.join(counts.select(F.col("gid").alias(side), F.col("places").alias(f"places_{side}")), side, "left")
-    places = F.least(F.coalesce("places_a", F.lit(0)), F.coalesce("places_b", F.lit(0)))
-    met = met.where(F.col("met") + places >= _wanted(F.col("n"), percent))
+    enough = F.col("met") >= _wanted(F.col("n"), percent)
+    crowded = not long.isEmpty()
+    if crowded:
+        for side in ("a", "b"):
+            met = met.join(counts.select(F.col("gid").alias(side), F.col("places").alias(f"places_{side}")), side, "left")
+        places = F.least(F.coalesce("places_a", F.lit(0)), F.coalesce("places_b", F.lit(0)))
+        enough = F.col("met") + places >= _wanted(F.col("n"), percent)
+    met = met.where(enough).select(F.explode(F.array("a", "b")).alias("gid"), _label(1, F.col("gram")).alias("label"))
+    if not crowded:
+        return met.distinct()
 
     # Pairs that share n-grams with long lists only: groups with enough of them are tied to
     # the list's first group of their size, and that to the first of the next size.
@@ -189,15 +233,20 @@ def _candidates(groups: DataFrame, percent: int) -> DataFrame:
     tied = long.join(hubs, ["gram", "band"]).select(F.col("gid").alias("a"), F.col("hub").alias("b"))
     above = hubs.select("gram", (F.col("band") - 1).alias("band"), F.col("hub").alias("b"))
     bridged = hubs.join(above, ["gram", "band"]).select(F.col("hub").alias("a"), "b")
-    return met.select("a", "b").union(tied).union(bridged).where("a <> b").distinct()
+    clusters = components(stored(tied.union(bridged).where("a <> b").distinct(), "gram-ties"))
+    roots = clusters.select("root").distinct().withColumnRenamed("root", "gid")
+    tied = clusters.select(F.col("node").alias("gid"), _label(2, F.col("root")).alias("label"))
+    tied = tied.union(roots.select("gid", _label(2, F.col("gid")).alias("label")))
+    return met.union(tied).distinct()
 
 
 def _verified(docs: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:
     """Links ``a``, ``b`` between members (``label``, ``rep``, ``mark``, ``set_id``, ``blocks``) that connect all linked ones.
 
-    A member has one row of ``docs``, or several with different texts of equal marks.
+    Members of one label are compared with each other. A member has one row of ``docs``, or several
+    with different texts of equal marks.
     """
-    texts = members.join(docs.select(F.col("doc_id").alias("rep"), F.xxhash64("text").alias("mark"), "text"), ["rep", "mark"])
+    texts = members.join(docs.select(F.col("doc_id").alias("rep"), "mark", "text"), ["rep", "mark"])
     block = F.pmod(F.xxhash64("rep", "set_id"), F.col("blocks"))
     rows = texts.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.select(
@@ -278,24 +327,30 @@ def near_duplicates(docs: DataFrame, size: int, percent: int, key: str = "doc_id
         full.groupBy("group_id").agg(F.min("doc_id").alias("gid"), F.first("n").alias("n"), F.first("prefix").alias("prefix")),
         "gram-groups",
     )
-    clusters = components(_candidates(groups, percent))
+    labels = stored(_candidates(groups, percent), "gram-labels")
 
     distinct = full.groupBy("set_id").agg(
         F.min(F.struct("doc_id", "mark")).alias("first"), F.first("group_id").alias("group_id"), F.first("n").alias("n")
     )
     distinct = distinct.select("set_id", F.col("first.doc_id").alias("rep"), F.col("first.mark").alias("mark"), "group_id", "n")
-    distinct = distinct.join(groups.select("group_id", "gid"), "group_id")
-    distinct = distinct.join(clusters.withColumnRenamed("node", "gid"), "gid", "left")
-    distinct = stored(distinct.select("set_id", "rep", "mark", "n", F.coalesce("root", "gid").alias("label")), "gram-distinct")
+    distinct = stored(distinct.join(groups.select("group_id", "gid"), "group_id").drop("group_id"), "gram-distinct")
+    # Sets of one group that is in no other cluster are a cluster.
+    several = distinct.groupBy("gid").agg(F.count("*").alias("sets")).where("sets > 1")
+    alone = several.join(labels.select("gid"), "gid", "left_anti").select("gid", _label(3, F.col("gid")).alias("label"))
+    members = distinct.join(labels.union(alone), "gid")
     blocks = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_GRAMS))
-    crowds = distinct.groupBy("label").agg(F.count("*").alias("sets"), blocks.alias("blocks")).where("sets > 1")
-    members = distinct.join(crowds.drop("sets"), "label").select("label", "rep", "mark", "set_id", "blocks")
-
-    # Repeated rows have one text for all of them, wherever there are any.
+    crowds = members.groupBy("label").agg(F.count("*").alias("sets"), blocks.alias("blocks")).where("sets > 1")
+    members = members.join(crowds.drop("sets"), "label").select("label", "rep", "mark", "set_id", "blocks")
+    members = stored(members, "gram-members")
+
+    # Repeated rows have one text for all of them, wherever there are any. Only texts that are
+    # compared are shuffled.
+    texts = rows.where("doc_id is not null").withColumn("mark", F.xxhash64("text"))
+    wanted = members.select(F.col("rep").alias("doc_id"), "mark").distinct()
+    texts = texts.join(small_side(wanted, SMALL), ["doc_id", "mark"], "left_semi")
     several = full.groupBy("doc_id", "mark").agg(F.count("*").alias("copies")).where("copies > 1")
-    texts = rows.where("doc_id is not null")
     if not several.isEmpty():
-        texts = texts.groupBy("doc_id", F.sha2("text", 256).alias("digest")).agg(F.first("text").alias("text"))
+        texts = texts.groupBy("doc_id", "mark", F.sha2("text", 256).alias("digest")).agg(F.first("text").alias("text"))
     roots = components(stored(_verified(texts, members, size, percent), "gram-links"))
     found = distinct.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     found = found.select("set_id", F.coalesce("root", "rep").alias("component_id"))
