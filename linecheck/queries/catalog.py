@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import asdict
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from linecheck import functions as fn
 from linecheck import schemas as S
 from linecheck.operators import check as checks
-from linecheck.operators import increments, keyed, report, stacking, timeline
+from linecheck.operators import increments, keyed, ranks, report, stacking, timeline
 from linecheck.operators.measured import written
 from linecheck.operators.prepare import listed_models, prepare, typed_lines
 from linecheck.operators.template import missing_templates, template_positions, template_sizes
@@ -285,6 +287,9 @@ def whole_job(spark: SparkSession, folder: str) -> DataFrame:
         mark=f"{root}/mark",
         withhold_open=True,
     )
+    lines = [(f"{name}={value}",) for name, value in asdict(settings).items() if value != ""]
+    spark.createDataFrame(lines, "line string").coalesce(1).write.text(f"{root}/settings")
+    settings = inspection.read_settings(spark, f"{root}/settings")
     early = F.col("datetime") <= inputs.MARK
     for part in (rows.where(early), rows.where(~early)):
         part.write.mode("append").parquet(settings.readings)
@@ -422,6 +427,53 @@ def boosted_scores(spark: SparkSession, folder: str) -> DataFrame:
     return scored.rows.select("vec_id", "label", "prediction")
 
 
+def _small_numbers(rows: DataFrame) -> DataFrame:
+    """The vectors as features of a few whole numbers each, and whether the label is one of the upper half."""
+    rows = rows.withColumn("label", (F.col("label") > 4).cast("double"))
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 8).cast("double"))
+    return classify.features_from_array(rows.withColumn("embedding", whole), "embedding")
+
+
+def boosted_stump(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of held-out rows by a model of one split, which is trained, saved, loaded and applied."""
+    rows = _small_numbers(inputs.table(spark, folder, "embeddings"))
+    train, test = classify.hold_out(rows, "vec_id", 0.25, seed=7)
+    path = fresh_path(spark, "model")
+    classify.run_classifier("train", {"train": train}, params={"maxIter": 1, "maxDepth": 1}, model_path=path)
+    scored = classify.run_classifier("loadAndPredict", {"test": test}, model_path=path)
+    return scored.rows.select("vec_id", "label", "prediction")
+
+
+def score_thresholds(spark: SparkSession, folder: str) -> DataFrame:
+    """Hits and misses at every threshold of a score with many ties, and the area under the curve."""
+    rows = inputs.table(spark, folder, "embeddings")
+    rows = rows.select((F.col("label") > 4).cast("int").alias("label"), F.floor(F.col("embedding")[0].cast("double") * 40).alias("score"))
+    counts = written(ranks.threshold_counts(rows), "thresholds")
+    area = ranks.area_under_curve(counts).select("area")
+    return counts.join(F.broadcast(area))
+
+
+def table_life(spark: SparkSession, folder: str) -> DataFrame:
+    """A keyed table that is created, filled in two appends, read, and dropped."""
+    rows = inputs.table(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal")
+    name = f"linecheck_{uuid.uuid4().hex}"
+    tables.create_table(spark, name, [("c_custkey", "long", False), ("c_name", "string", True), ("c_acctbal", "double", True)], ["c_custkey"])
+    debtors = F.col("c_acctbal") < 0
+    for part in (rows.where(debtors), rows.where(~debtors).select("c_acctbal", "c_custkey", "c_name")):
+        tables.append_rows(part, name)
+    found = written(tables.read_table(spark, name), "table-life")
+    tables.drop_table(spark, name)
+    return found
+
+
+def stored_mark(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest time, written as the mark and read again; before that there is the default."""
+    path = fresh_path(spark, "mark")
+    before = files.read_mark(spark, path, inputs.MARK)
+    files.write_mark(increments.new_mark(inputs.readings(spark, folder)), path)
+    return files.literal_rows(spark, [(before, files.read_mark(spark, path, inputs.MARK))], ["before", "mark"])
+
+
 def _streamed(spark: SparkSession, folder: str, part: Column, parts: int) -> str:
     """Output folder of a stream of readings that is stopped and started again between its parts."""
     root = fresh_path(spark, "stream")
@@ -514,6 +566,10 @@ QUERIES: dict[str, Query] = {
         parquet_scan,
         report_files,
         boosted_scores,
+        boosted_stump,
+        score_thresholds,
+        table_life,
+        stored_mark,
         streamed_verdicts,
         streamed_late_rows,
     )

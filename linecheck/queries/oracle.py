@@ -262,6 +262,42 @@ ORACLE: dict[str, str] = {
     "whole_job": f"""{VERDICTS}
         select equipmentid, mcid, strftime(datetime, '%Y-%m-%d %H:%M:%S') as datetime, code, description
         from verdicts""",
+    "boosted_stump": """
+        with whole as (
+          select vec_id, (label > 4)::int as y, list_transform(embedding, lambda x: floor(8 * x::double)) as f,
+                 ('0x' || substr(md5('7:' || vec_id), 1, 8))::bigint / 4294967296.0 >= 0.25 as train
+          from embeddings),
+        long as (
+          select unnest(f) as v, generate_subscripts(f, 1) as j, 2 * y - 1 as s from whole where train),
+        vals as (select j, v, count(*)::double as n, sum(s)::double as s from long group by j, v),
+        sums as (
+          select j, v, lead(v) over w as next, sum(n) over w as n_left, sum(s) over w as s_left,
+                 sum(n) over (partition by j) as n, sum(s) over (partition by j) as s
+          from vals window w as (partition by j order by v)),
+        best as (
+          select j, (v + next) / 2 as split, s_left / n_left as below, (s - s_left) / (n - n_left) as above
+          from sums where next is not null
+          order by s_left * s_left / n_left + (s - s_left) * (s - s_left) / (n - n_left) desc, j, v limit 1)
+        select vec_id, y::double as label,
+               case when case when f[j] <= split then below else above end > 0 then 1.0 else 0.0 end::double as prediction
+        from whole, best where not train""",
+    "score_thresholds": """
+        with scored as (
+          select floor(40 * embedding[1]::double)::bigint as score, (label > 4)::int as y from embeddings),
+        counts as (
+          select score, sum(y)::bigint as hits, sum(1 - y)::bigint as misses
+          from scored where score is not null and y is not null group by score),
+        above as (
+          select score, hits, misses,
+                 (sum(hits) over (order by score desc))::bigint as hits_above,
+                 (sum(misses) over (order by score desc))::bigint as misses_above
+          from counts)
+        select *, (sum((2 * hits_above - hits) * misses) over ())::double
+                  / (2 * ((sum(hits) over ())::double * (sum(misses) over ())::double)) as area
+        from above""",
+    "table_life": "select c_custkey, c_name, c_acctbal from customer",
+    "stored_mark": f"""with {READINGS}
+        select '{MARK}' as before, strftime(max(datetime), '%Y-%m-%d %H:%M:%S') as mark from readings""",
     "cutoff_rows": f"""with {READINGS}
         select linenmb, equipmentid, datetime from readings where datetime >= timestamp '1997-05-20 00:00:00'""",
     "number_texts": f"""

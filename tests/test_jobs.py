@@ -10,7 +10,7 @@ import golden
 import restated
 from linecheck import schemas as S
 from linecheck.operators import check as checks
-from linecheck.operators import increments, report, stacking
+from linecheck.operators import increments, ranks, report, stacking
 from linecheck.operators.check import check
 from linecheck.operators.prepare import listed_models, prepare, typed_lines
 from linecheck.plans import classify, inspection
@@ -423,3 +423,28 @@ def test_repeated_micro_batch_changes_nothing(spark, tmp_path):
     inspect.close_open_samples(spark, S.LINES, templates, out, 2)
     whole = restated.verdicts(rows, {"M1": golden.TEMPLATE})
     assert ordered(inspect.read_verdicts(spark, out).collect()) == ordered(whole)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_threshold_counts_and_area(spark, seed):
+    rng = random.Random(seed)
+    rows = [(rng.choice([None, *range(12)]), rng.choice([None, 0, 1, 1])) for _ in range(300)]
+    counts = ranks.threshold_counts(spark.createDataFrame(rows, "score long, label int"))
+    known = [(s, y) for s, y in rows if s is not None and y is not None]
+    wanted = []
+    for score in {s for s, _ in known}:
+        own = [sum(y == kind and s == score for s, y in known) for kind in (1, 0)]
+        above = [sum(y == kind and s >= score for s, y in known) for kind in (1, 0)]
+        wanted.append((score, *own, *above))
+    assert sorted(tuple(r) for r in counts.collect()) == sorted(wanted)
+    hits, misses = ([s for s, y in known if y == kind] for kind in (1, 0))
+    pairs = sum(1.0 if h > m else 0.5 if h == m else 0.0 for h in hits for m in misses)
+    found = ranks.area_under_curve(counts).first()
+    assert (found.hits, found.misses) == (len(hits), len(misses))
+    assert found.area == pytest.approx(pairs / (len(hits) * len(misses)))
+
+
+def test_area_without_hits_is_missing(spark):
+    for rows in ([], [(1, 0)], [(2, 1)]):
+        counts = ranks.threshold_counts(spark.createDataFrame(rows, "score long, label int"))
+        assert ranks.area_under_curve(counts).first().area is None
