@@ -48,6 +48,18 @@ select
 from f
 """
 
+ABLATIONS = f"""
+select
+    rule,
+    count(*) filter (failed & bit <> 0) as n_failed,
+    count(*) filter (failed = bit) as n_only,
+    count(*) filter (failed = 0 or failed = bit) as n_kept_without
+from ({OP8}) cross join (values
+    ('few_words', 1), ('repeated_words', 2), ('symbols', 4), ('repeated_lines', 8), ('word_length', 16), ('capitals', 32)
+) as rules(rule, bit)
+group by rule
+"""
+
 OP2 = """
 with d as (
     select
@@ -241,4 +253,5 @@ ORACLE: dict[str, str] = {
     "op11_decontamination": OP11,
     "op12_spelling_variants": OP12,
     "op13_centroid_clusters": OP13,
+    "quality_ablations": ABLATIONS,
 }

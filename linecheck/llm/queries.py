@@ -88,6 +88,11 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def quality_ablations(spark: SparkSession, folder: str) -> DataFrame:
+    """What each rule of the policy rejects, and what would stay without it."""
+    return quality.ablations(quality.ledger(table(spark, folder, "documents")), POLICY)
+
+
 def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = bpe.Tokenizer(spark, RANKS, public_tokenizers.PATTERN)
     docs = table(spark, folder, "documents").select("doc_id", tokenizer.round_trip(F.col("text")).alias("coded"))
@@ -159,4 +164,5 @@ QUERIES: dict[str, Query] = {
     "op11_decontamination": op11_decontamination,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_centroid_clusters": op13_centroid_clusters,
+    "quality_ablations": quality_ablations,
 }

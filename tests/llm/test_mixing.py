@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+import xxhash
 
 from linecheck.llm import mixing
 from tests.llm.cases import DOCS, awkward_docs, no_docs
@@ -55,6 +56,53 @@ def test_entropy_is_met_and_budgets_are_filled(spark, seed, monkeypatch):
             before += u.n_tokens
 
 
+def hashed(*values):
+    """Spark's 64-bit hash of whole numbers, each with its width in bytes; missing ones are passed over."""
+    h = 42
+    for value, width in values:
+        if value is not None:
+            h = xxhash.xxh64(value.to_bytes(width, "little", signed=True), seed=h % 2**64).intdigest()
+    return h - 2**64 if h >= 2**63 else h
+
+
+def restated(rows, budgets, seed, size):
+    """The schedule of (key, source, tokens): source by source, pass by pass, block by block."""
+    found = []
+    for source, budget in budgets.items():
+        tokens = {}
+        for key, own, n in rows:
+            if own == source:
+                tokens[key] = tokens.get(key, 0) + n
+        blocks = {}
+        for key in tokens:
+            blocks.setdefault(hashed((seed, 4), (key, 8)) % -(-len(tokens) // size), []).append(key)
+        used = epoch = 0
+        while epoch <= 1000 and used < budget:
+            for block in sorted(blocks, key=lambda b: (hashed((seed, 4), (epoch, 8), (b, 8)), b)):
+                for key in sorted(blocks[block], key=lambda k: (hashed((seed, 4), (epoch, 8), (k, 8)), k is not None, k or 0)):
+                    if used + tokens[key] <= budget * (1 + 1e-12):
+                        found.append((-1 if key is None else key, str(source), tokens[key], epoch, round(used / budget, 9)))
+                    used += tokens[key]
+            epoch += 1
+    return sorted(found)
+
+
+@pytest.mark.parametrize("seed, entropy_wanted", [(0, 0.8), (5, 0.99)])
+def test_schedule_is_that_of_plain_loops(spark, seed, entropy_wanted, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 16)
+    extra = [(None, "w w w", "en", "mid", None), (None, "w", "en", "mid", None), (3, "w w", "en", "big", None), (7000, None, "en", "low", None)]
+    docs = corpus(spark).union(spark.createDataFrame(extra, DOCS))
+    target = mixing.Target(entropy=entropy_wanted, passes=9.0, seed=seed)
+    counted = docs.select("doc_id", "source", mixing.n_tokens(docs.text).alias("tokens"))
+    rows = [(r.doc_id, r.source, r.tokens) for r in counted.collect()]
+    budgets = {r.source: r.budget for r in mixing.weights(counted, target).collect()}
+    found = [
+        (-1 if r.doc_id is None else r.doc_id, str(r.source), r.n_tokens, r.epoch, round(r.position, 9))
+        for r in mixing.schedule(docs, target).collect()
+    ]
+    assert sorted(found) == restated(rows, budgets, seed, 16)
+
+
 def test_passes_limit_the_mixture(spark):
     docs = corpus(spark)
     rows = docs.select("source", mixing.n_tokens(docs.text).alias("tokens"))
