@@ -22,7 +22,7 @@ from linecheck.session import fresh_path
 from linecheck.sources import files, tables, versions
 from linecheck.sources.keyed_files import KeyedFiles
 from linecheck.sources.versions import VersionedTable
-from linecheck.streaming import inspect
+from linecheck.streaming import inspect, keyed_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -508,6 +508,32 @@ def streamed_late_rows(spark: SparkSession, folder: str) -> DataFrame:
     return late.select("equipmentid", "mcid", "linenmb", "datetime", "open_from", "batch")
 
 
+def _by_state(spark: SparkSession, folder: str, part: Column, parts: int) -> str:
+    """As ``_streamed``, with the open samples in Spark's state store."""
+    root = fresh_path(spark, "stream")
+    rows = inputs.readings(spark, folder).withColumn("datetime", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss"))
+    rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in S.LINES])
+    templates = written(inputs.templates(spark, folder), "templates")
+    for n in range(parts):
+        rows.where(part == n).write.mode("append").parquet(f"{root}/in")
+        source = inspect.read_stream(spark, f"{root}/in")
+        keyed_state.inspect_stream(source, templates, f"{root}/out", f"{root}/progress").awaitTermination()
+    keyed_state.close_open_samples(spark, templates, f"{root}/out", f"{root}/progress")
+    return f"{root}/out"
+
+
+def stated_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdicts of a stream in three parts that keeps open samples in its state."""
+    return keyed_state.read_verdicts(spark, _by_state(spark, folder, _period(), len(ARRIVALS) + 1))
+
+
+def stated_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """What is late in a stream that keeps open samples in its state, of arrivals that overlap."""
+    part = _period() + (F.col("linenmb") == LATE_LINE).cast("int")
+    late = keyed_state.read_late(spark, _by_state(spark, folder, part, len(ARRIVALS) + 2))
+    return late.select("equipmentid", "mcid", "linenmb", "datetime", "open_from", "batch")
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -572,5 +598,7 @@ QUERIES: dict[str, Query] = {
         stored_mark,
         streamed_verdicts,
         streamed_late_rows,
+        stated_verdicts,
+        stated_late_rows,
     )
 }

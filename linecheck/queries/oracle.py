@@ -155,6 +155,16 @@ seen{_n} as (
 taken{_n} as (
   select * from taken{_n - 1} union all select * exclude (open_from, late) from seen{_n} where not late)"""
 
+TEXT_VERDICTS = f"""{VERDICTS}
+  select equipmentid, mcid, strftime(datetime, '%Y-%m-%d %H:%M:%S') as datetime, code, description
+  from verdicts"""
+
+LATE_ROWS = f"""{STREAMED_LATE}
+  select equipmentid, mcid, linenmb, strftime(datetime, '%Y-%m-%d %H:%M:%S') as datetime,
+         strftime(open_from, '%Y-%m-%d %H:%M:%S') as open_from, batch
+  from (select * from seen1 union all select * from seen2 union all select * from seen3)
+  where late"""
+
 LINE_STEPS = f"""{CHECKED}
   select equipmentid, mcid, sample_ts, n_lines, pos, line, lead_step, pad_step from steps"""
 
@@ -259,9 +269,7 @@ ORACLE: dict[str, str] = {
     "zoned_since_mark": f"""with {READINGS}
         select linenmb, equipmentid, mcid, datetime from readings where datetime > timestamp '1997-07-01'""",
     "zoned_mark": f"with {READINGS} select max(datetime) as datetime from readings",
-    "whole_job": f"""{VERDICTS}
-        select equipmentid, mcid, strftime(datetime, '%Y-%m-%d %H:%M:%S') as datetime, code, description
-        from verdicts""",
+    "whole_job": TEXT_VERDICTS,
     "boosted_stump": """
         with whole as (
           select vec_id, (label > 4)::int as y, list_transform(embedding, lambda x: floor(8 * x::double)) as f,
@@ -334,12 +342,8 @@ ORACLE: dict[str, str] = {
         select *, ['csv', 'json', 'parquet'][({CRC32.format("model_key")} % 3 + 1)::int] as kind from files""",
     "csv_scan": f"with {EQUIPMENT} select * from equipment",
     "parquet_scan": "select * from part",
-    "streamed_verdicts": f"""{VERDICTS}
-        select equipmentid, mcid, strftime(datetime, '%Y-%m-%d %H:%M:%S') as datetime, code, description
-        from verdicts""",
-    "streamed_late_rows": f"""{STREAMED_LATE}
-        select equipmentid, mcid, linenmb, strftime(datetime, '%Y-%m-%d %H:%M:%S') as datetime,
-               strftime(open_from, '%Y-%m-%d %H:%M:%S') as open_from, batch
-        from (select * from seen1 union all select * from seen2 union all select * from seen3)
-        where late""",
+    "streamed_verdicts": TEXT_VERDICTS,
+    "streamed_late_rows": LATE_ROWS,
+    "stated_verdicts": TEXT_VERDICTS,
+    "stated_late_rows": LATE_ROWS,
 }

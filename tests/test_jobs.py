@@ -18,7 +18,7 @@ from linecheck.plans.inspection import Settings, close_inspection, read_settings
 from linecheck.sources import tables
 from linecheck.sources.files import read_mark, read_templates
 from linecheck.sources.versions import CommitConflict, VersionedTable
-from linecheck.streaming import inspect
+from linecheck.streaming import inspect, keyed_state
 from test_check import as_templates, ordered
 
 TEMPLATE_CSV = "lineNmb,leadDiff,padDiff,leadThreshold,padThreshold\n1,0,0,0.5,0.5\n2,5,3,0.5,0.5\n3,5,3,0.5,0.5\n"
@@ -425,6 +425,58 @@ def test_repeated_micro_batch_changes_nothing(spark, tmp_path):
     assert ordered(inspect.read_verdicts(spark, out).collect()) == ordered(whole)
 
 
+def stated(spark, root, arrivals, **options):
+    """Streams arrivals with the state of histories; the last progress of each."""
+    templates = as_templates(spark, {"M1": golden.TEMPLATE})
+    progress = []
+    for part in arrivals:
+        spark.createDataFrame(part, S.LINES).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        source = inspect.read_stream(spark, f"{root}/in")
+        query = keyed_state.inspect_stream(source, templates, f"{root}/out", f"{root}/progress", **options)
+        query.awaitTermination()
+        progress.append(query.recentProgress)
+    return templates, progress
+
+
+def test_a_stream_with_state_equals_batch(spark, tmp_path):
+    rows = ticking_readings(3)
+    templates, _ = stated(spark, tmp_path, parts(rows, CUTS))
+    keyed_state.close_open_samples(spark, templates, f"{tmp_path}/out", f"{tmp_path}/progress")
+    found = keyed_state.read_verdicts(spark, f"{tmp_path}/out").collect()
+    assert ordered(found) == ordered(restated.verdicts(rows, {"M1": golden.TEMPLATE}))
+    assert keyed_state.read_late(spark, f"{tmp_path}/out").count() == 0
+
+
+def test_state_of_other_histories_is_not_written(spark, tmp_path):
+    def reading(eq, line, second):
+        return (line, eq, "M1", f"2021-04-23 08:00:{second:02}", "5", "0", "3", "0")
+
+    many = [reading(f"E{n}", line, line) for n in range(30) for line in (1, 2)]
+    arrivals = [many, [reading("E3", 3, 7), reading("E3", 1, 9)], [reading("E3", 2, 8), reading("E4", 2, 0)]]
+    _, progress = stated(spark, tmp_path, arrivals)
+    written = [sum(p["stateOperators"][0]["numRowsUpdated"] for p in part) for part in progress]
+    assert written[0] >= 60 and max(written[1:]) < 12
+    late = keyed_state.read_late(spark, f"{tmp_path}/out").collect()
+    assert {(r.equipmentid, r.linenmb, r.open_from[-2:], r.batch) for r in late} == {("E3", 2, "09", 2), ("E4", 2, "01", 2)}
+    assert keyed_state.open_rows(spark, f"{tmp_path}/progress").count() == 2 * 29 + 1
+
+
+def test_a_timer_closes_an_idle_sample(spark, tmp_path):
+    def reading(eq, line, time):
+        return (line, eq, "M1", f"2021-04-23 08:{time}", "5", "0", "3", "0")
+
+    arrivals = [
+        [reading("E1", 1, "00:00"), reading("E1", 2, "00:01"), reading("E2", 1, "00:01")],
+        [reading("E2", 2, "05:00")],
+        [reading("E1", 3, "00:02"), reading("E1", 1, "06:00"), reading("E1", 2, "05:59")],
+    ]
+    stated(spark, tmp_path, arrivals, idle=60)
+    found = {(r.equipmentid, r.datetime[-5:], r.description) for r in keyed_state.read_verdicts(spark, f"{tmp_path}/out").collect()}
+    assert ("E1", "00:00", "少线: 【实际/标准: 2/3】") in found
+    late = {(r.linenmb, r.datetime[-5:]) for r in keyed_state.read_late(spark, f"{tmp_path}/out").collect()}
+    assert {(3, "00:02"), (2, "05:59")} <= late
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_threshold_counts_and_area(spark, seed):
     rng = random.Random(seed)
