@@ -7,12 +7,14 @@ sequence.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +70,14 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def give_back() -> None:
+    """Return memory that this Python process has freed, which it would keep while it waits for more tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def free_name(frame: DataFrame, wish: str) -> str:
     """A column name the frame does not have, whatever the case of its names."""
     taken = {c.lower() for c in frame.columns}

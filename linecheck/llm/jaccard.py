@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linecheck.llm.common import as_bytes, free_name, mixed, numbered, stored, window_hashes, word_hashes
+from linecheck.llm.common import as_bytes, free_name, give_back, mixed, numbered, stored, window_hashes, word_hashes
 from linecheck.llm.graph import components
 from linecheck.operators.measured import small_side
 
@@ -110,6 +110,8 @@ def _frequent(docs: DataFrame, size: int, percent: int) -> tuple[np.ndarray, np.
                     held, n = [], 0
         if n:
             yield from packed(np.concatenate(held))
+        held.clear()
+        give_back()
 
     def add(table: pa.Table) -> pa.Table:
         raw = np.frombuffer(b"".join(table.column("numbers").to_pylist()), np.uint8).reshape(-1, NUMBER_BYTES)
@@ -174,6 +176,7 @@ def _sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 ],
                 ["doc_id", "mark", "n", "set_id", "group_id", "prefix"],
             )
+        give_back()
 
     schema = "doc_id long, mark long, n long, set_id binary, group_id binary, prefix array<long>"
     return stored(docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(described, schema), "gram-sets")
