@@ -1,4 +1,9 @@
-"""A training corpus from raw documents: stages that each keep the columns of documents."""
+"""A training corpus from raw documents: stages that each keep the columns of documents.
+
+Every stage works on rows, so repeated rows, missing or reused ids and further columns are no
+hindrance to any, and no rows give no rows. A missing text counts as empty, and a text of any
+length is worked on whole.
+"""
 
 from __future__ import annotations
 
@@ -12,7 +17,7 @@ from linecheck.llm.queries import MIXTURE, POLICY, RANKS
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the policy accepts."""
+    """Documents that the policy accepts; missing, empty and short texts are rejected, ids play no part."""
     ship(spark)
     return quality.accepted(docs, POLICY)
 
@@ -24,20 +29,28 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of 100 bytes or more that stand earlier in the corpus."""
+    """Documents without passages of 100 bytes or more that stand earlier in the corpus.
+
+    Earlier are smaller ids (missing ones first), then smaller digests. Whole characters go; a text
+    of which nothing is left stays as an empty one, a missing text stays missing.
+    """
     ship(spark)
     cut = repeats.deduplicated(docs, length=100)
     return cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mixture of sources uses them."""
+    """Documents as often as the mixture of sources uses them, with all their columns.
+
+    Rows without source are a source of their own; rows that share id and source go together.
+    Documents without words go with their source's block.
+    """
     ship(spark)
     return mixing.mixture(docs, MIXTURE)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as token ids, with the number of bytes that they decode to."""
+    """Every document as token ids, with the number of bytes that they decode to; of a missing or empty text, none."""
     ship(spark)
     tokenizer = bpe.Tokenizer(spark, RANKS, public_tokenizers.PATTERN)
     coded = tokenizer.round_trip(F.col("text"))
