@@ -81,9 +81,12 @@ OP3 = """
 with v as (
     select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v
     from embeddings
-    where embedding is not null and list_aggregate(list_transform(embedding, lambda x: coalesce(isfinite(x), false)), 'bool_and')
+    where embedding is not null
+        and coalesce(list_aggregate(list_transform(embedding, lambda x: coalesce(isfinite(x), false)), 'bool_and'), true)
 ), s as (
-    select q.vec_id as query_id, c.vec_id as vec_id, list_inner_product(q.v, c.v)::bigint as score
+    select
+        q.vec_id as query_id, c.vec_id as vec_id,
+        case when len(q.v) = 0 or len(c.v) = 0 then 0 else list_inner_product(q.v, c.v) end::bigint as score
     from v as q join v as c on q.vec_id <> c.vec_id
     where q.vec_id % 20 = 0
 ), r as (

@@ -185,9 +185,10 @@ def top_k(vectors: DataFrame, is_query: str, k: int, key: str = "id", vector: st
     ``vectors`` has an id, an array of whole numbers and a boolean column that marks queries;
     every row is a candidate, for all queries but itself. Ties go to the smaller id. Fewer
     than k other rows: all of them. Rows without id or vector, or with a missing component,
-    take no part; repeated ids count once, with the smallest vector; a shorter vector counts
-    as padded with zeros, and an empty one scores 0. A missing mark is no query. No rows or
-    no queries give no rows. Scores have to fit 64 bits.
+    take no part. Rows that repeat an id are candidates of their own for all queries of other
+    ids; queries that repeat an id share one result, the best of all of them. A shorter vector
+    counts as padded with zeros, and an empty one scores 0. A missing mark is no query. No rows
+    or no queries give no rows. Scores have to fit 64 bits.
     """
     good = F.col(key).isNotNull() & F.col(vector).isNotNull() & ~F.exists(F.coalesce(F.col(vector), F.array().cast("array<long>")), lambda x: x.isNull())
     rows = vectors.where(good).select(
@@ -195,7 +196,6 @@ def top_k(vectors: DataFrame, is_query: str, k: int, key: str = "id", vector: st
         F.col(vector).cast("array<long>").alias("vector"),
         F.coalesce(F.col(is_query), F.lit(False)).alias("asks"),
     )
-    rows = rows.groupBy("id").agg(F.min("vector").alias("vector"), F.max("asks").alias("asks"))
     square = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
     rows = stored(rows.withColumn("square", square), "topk-vectors")
     facts = rows.agg(

@@ -1,24 +1,22 @@
 import random
 
+import duckdb
 import pytest
 
 from linecheck.llm import topk
+from linecheck.llm.oracle import OP3
+from linecheck.llm.queries import op3_exact_topk
 
 VECTORS = "id long, vector array<long>, asks boolean, block string, rank string"
 
 
 def brute(rows, k):
-    vectors = {}
-    for name, vector, asks in rows:
-        if name is None or vector is None or None in vector:
-            continue
-        old = vectors.get(name)
-        vectors[name] = (min(vector, old[0]) if old else vector, bool(asks) or bool(old and old[1]))
+    good = [(name, vector, bool(asks)) for name, vector, asks in rows if name is not None and vector is not None and None not in vector]
     found = []
-    for name, (vector, asks) in vectors.items():
-        if asks:
-            scores = [(-sum(a * b for a, b in zip(vector, v, strict=False)), o) for o, (v, _) in vectors.items() if o != name]
-            found += [(name, i + 1, o, -s) for i, (s, o) in enumerate(sorted(scores)[:k])]
+    for name in {name for name, _, asks in good if asks}:
+        own = [vector for other, vector, asks in good if asks and other == name]
+        scores = [(-sum(a * b for a, b in zip(q, v, strict=False)), o) for q in own for o, v, _ in good if o != name]
+        found += [(name, i + 1, o, -s) for i, (s, o) in enumerate(sorted(scores)[:k])]
     return sorted(found)
 
 
@@ -48,6 +46,19 @@ def test_awkward_rows(spark):
     assert run(spark, rows, 20) == brute(rows, 20)
 
 
+def test_query_equals_its_sql_on_repeated_ids_and_empty_vectors(spark, tmp_path):
+    rows = [(i, [random.Random(i).uniform(-1, 1) for _ in range(3)]) for i in range(30)]
+    rows += [(20, [0.5, 0.5, 0.5]), (20, [0.5, 0.5, 0.5]), (7, [0.9, 0.1, 0.0]), (7, [0.9, 0.1, 0.0]), (40, []), (41, []), (60, None), (80, [None, 1.0, 1.0])]
+    rows += [(100, [float("nan"), 1.0, 1.0]), (None, [1.0, 1.0, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    frame.write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet' where vec_id is not null")
+    wanted = sorted(con.execute(f"select query_id, rank, vec_id, score from ({OP3})").fetchall())
+    found = op3_exact_topk(spark, str(tmp_path)).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(tuple(r) for r in found) == wanted
+
+
 def test_scores_beyond_doubles(spark):
     rows = [(1, [2**30, 1], True), (2, [2**30, 3], False), (3, [2**30, 2], True), (4, [2**30, 2], False)]
     assert run(spark, rows, 2) == brute(rows, 2)
