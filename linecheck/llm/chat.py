@@ -11,7 +11,8 @@ mask are running sums of the lengths of pieces.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -38,18 +39,17 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"<\1|", text)
 
 
-def assembled(merges: Merges, size: int, roles: list[str], texts: list[str]) -> Iterator[tuple[bytes, int, int, int, int]]:
-    """Per turn: ids, number of ids, first and last place of the loss mask, characters when written out."""
+def assembled(merges: Merges, size: int, roles: list[str], texts: list[str]) -> Iterator[tuple[bytes, int, int, int]]:
+    """Per turn: ids, number of ids, first and last place of the loss mask."""
     escaped = [escape(role) for role in roles], [escape(text) for text in texts]
     heads, bodies = merges.encode(escaped[0]), merges.encode(escaped[1])
     line = merges.encode(["\n"])[0]
     opens, closes = (np.array([size + i], "<u4").tobytes() for i in range(2))
-    marks = sum(len(mark) for mark in MARKS) + 2
-    for head, body, role, text, plain in zip(heads, bodies, *escaped, roles, strict=True):
+    for head, body, plain in zip(heads, bodies, roles, strict=True):
         pieces = (opens, head, line, body, closes, line)
         ends = np.cumsum([len(piece) // 4 for piece in pieces])
         start, end = (int(ends[2]), int(ends[4])) if plain == LEARNED else (0, 0)
-        yield b"".join(pieces), int(ends[-1]), start, end, marks + len(role) + len(text)
+        yield b"".join(pieces), int(ends[-1]), start, end
 
 
 def turns(rows: DataFrame, tokenizer: Tokenizer) -> DataFrame:
@@ -62,16 +62,17 @@ def turns(rows: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     this, size = tokenizer.task_side(), tokenizer.size
 
     def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            conv, turn, role, text = batch.columns
-            roles, texts = role.to_pylist(), text.to_pylist()
-            made = list(assembled(this.merges(), size, roles, texts)) if roles else []
-            columns = list(zip(*made, strict=True)) if made else [[]] * 5
-            kinds = (pa.binary(), *[pa.int64()] * 4)
-            yield pa.RecordBatch.from_arrays(
-                [conv, turn, role, text, *[pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]],
-                ["conv_id", "turn", "role", "text", "ids", "n_tokens", "loss_start", "loss_end", "n_chars"],
-            )
+        with this.merges() as merges:
+            for batch in batches:
+                conv, turn, role, text = batch.columns
+                roles, texts = role.to_pylist(), text.to_pylist()
+                made = list(assembled(merges, size, roles, texts)) if roles else []
+                columns = list(zip(*made, strict=True)) if made else [[]] * 4
+                kinds = (pa.binary(), *[pa.int64()] * 3)
+                yield pa.RecordBatch.from_arrays(
+                    [conv, turn, role, text, *[pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]],
+                    ["conv_id", "turn", "role", "text", "ids", "n_tokens", "loss_start", "loss_end"],
+                )
 
     plain = rows.select(
         F.col("conv_id").cast("long").alias("conv_id"),
@@ -79,7 +80,7 @@ def turns(rows: DataFrame, tokenizer: Tokenizer) -> DataFrame:
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    schema = "conv_id long, turn long, role string, text string, ids binary, n_tokens long, loss_start long, loss_end long, n_chars long"
+    schema = "conv_id long, turn long, role string, text string, ids binary, n_tokens long, loss_start long, loss_end long"
     return plain.mapInArrow(formatted, schema)
 
 
@@ -97,33 +98,36 @@ def placed(rows: DataFrame) -> DataFrame:
 class Reader:
     """Reads the tokens of one conversation back, turn after turn, from ids and mask alone."""
 
-    def __init__(self, merges: Merges, size: int):
-        self.merges, self.size = merges, size
+    def __init__(self, names: dict[int, bytes], size: int):
+        self.names, self.size = names, size
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
         self.n_turns = self.n_loss = self.n_chars = self.next = 0
 
-    def add(self, ids: bytes, offset: int, loss_start: int, loss_end: int, n_chars: int) -> None:
+    def add(self, ids: bytes, offset: int, loss_start: int, loss_end: int) -> None:
         if offset != self.next:
             raise ValueError(f"a turn begins at {offset}, but the one before ends at {self.next}")
         tokens = np.frombuffer(ids, "<u4")
         self.next += len(tokens)
+        pieces = list(map(self.names.__getitem__, tokens.tolist()))
+        self.n_chars += len(_text(pieces))
         opens, closes = np.flatnonzero(tokens == self.size), np.flatnonzero(tokens == self.size + 1)
         for a, b in zip(opens.tolist(), closes.tolist(), strict=True):
-            role, _, text = self._text(tokens[a + 1 : b]).partition("\n")
+            role, _, text = _text(pieces[a + 1 : b]).partition("\n")
             self.turns.update(f"{unescape(role)}\n{unescape(text)}\n".encode())
             self.n_turns += 1
-        masked = tokens[loss_start:loss_end]
-        text = unescape(self._text(masked[masked < self.size]))
-        self.loss.update(text.encode())
-        self.n_loss += len(text)
-        self.n_chars += n_chars
+        if loss_end > loss_start:
+            plain = (tokens[loss_start:loss_end] < self.size).tolist()
+            text = unescape(_text(compress(pieces[loss_start:loss_end], plain)))
+            self.loss.update(text.encode())
+            self.n_loss += len(text)
+
 
-    def _text(self, tokens: np.ndarray) -> str:
-        return self.merges.decode(tokens.tobytes()).decode("utf-8", "surrogatepass")
+def _text(pieces: Iterable[bytes]) -> str:
+    return b"".join(pieces).decode("utf-8", "surrogatepass")
 
 
 def read_back(rows: DataFrame, tokenizer: Tokenizer) -> DataFrame:
-    """One row per conversation of ``turns``: what its tokens and mask hold.
+    """One row per conversation of ``turns``: what its tokens and mask hold, ``formatted_chars`` with the marks.
 
     A conversation's turns stream through one task in order, as the digest of the whole
     asks for; none is held longer than its batch.
@@ -142,6 +146,7 @@ def read_back(rows: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = this.merges().tokens | {size + i: mark.encode() for i, mark in enumerate(MARKS)}
         now, reader = None, None
         done: list[tuple] = []
 
@@ -153,7 +158,7 @@ def read_back(rows: DataFrame, tokenizer: Tokenizer) -> DataFrame:
                 if reader is None or conv != now:
                     if reader is not None:
                         done.append(summary())
-                    now, reader = conv, Reader(this.merges(), size)
+                    now, reader = conv, Reader(names, size)
                 reader.add(*turn)
             if done:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True), result.types, strict=True)], schema=result)
@@ -161,7 +166,7 @@ def read_back(rows: DataFrame, tokenizer: Tokenizer) -> DataFrame:
         if reader is not None:
             yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(summary(), result.types, strict=True)], schema=result)
 
-    columns = ("conv_id", "ids", "offset", "loss_start", "loss_end", "n_chars")
+    columns = ("conv_id", "ids", "offset", "loss_start", "loss_end")
     # The running sum has dealt the rows by conversation.
     dealt = placed(rows).select(*columns).sortWithinPartitions("conv_id", "offset")
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_tokens long"
