@@ -24,8 +24,8 @@ GRAM = 4
 
 # Fixed values.
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]++"
-ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++"
+WORD = r"[a-z0-9\x80-\x{10FFFF}]++"
+ANY_CASE = r"[A-Za-z0-9\x80-\x{10FFFF}]++"
 
 # A fingerprint's upper half is a hash, its lower half the place of the first word.
 PLACE = (1 << 32) - 1
@@ -41,10 +41,6 @@ def _from(array: str, n: int) -> Column:
     return F.slice(array, n + 1, F.greatest(F.size(array) - n, F.lit(0)))
 
 
-def _hash(a: Column, b: Column) -> Column:
-    return F.xxhash64(a, b)
-
-
 def _hash_of(fingerprint: Column) -> Column:
     return F.shiftright(fingerprint, 32)
 
@@ -56,16 +52,18 @@ def _place_of(fingerprint: Column) -> Column:
 def gram_hashes(rows: DataFrame) -> DataFrame:
     """Adds ``grams``: per run of GRAM words of ``words`` a number of hash and place.
 
-    Every step uses the one before twice, so that it is computed once per row.
+    Every step uses the one before twice, so that it is computed once per row; single elements
+    are taken from arrays inside functions, as a slice there copies the whole array first.
     """
-    rows = rows.withColumn("grams", F.transform("words", lambda w: F.xxhash64(w)))
-    step = 1
-    while step < GRAM:
-        rows = rows.withColumn("grams", F.zip_with("grams", _from("grams", step), _hash))
-        step *= 2
-    whole = F.slice("grams", 1, F.greatest(F.size("words") - (GRAM - 1), F.lit(0)))
     high = F.lit(~PLACE).cast("long")
-    return rows.withColumn("grams", F.transform(whole, lambda x, i: x.bitwiseAND(high).bitwiseOR(i.cast("long"))))
+
+    def gram(word: Column, i: Column) -> Column:
+        hashed = F.xxhash64(word, *[F.get("words", i + k) for k in range(1, GRAM)])
+        return hashed.bitwiseAND(high).bitwiseOR(i.cast("long"))
+
+    rows = rows.withColumn("grams", F.transform("words", gram))
+    whole = F.greatest(F.size("words") - (GRAM - 1), F.lit(0))
+    return rows.withColumn("grams", F.slice("grams", 1, whole))
 
 
 def fingerprints(rows: DataFrame) -> DataFrame:
@@ -91,7 +89,7 @@ def windows(items: DataFrame) -> DataFrame:
     rows = rows.where(F.size("words") > 0)
     # The words are used twice, so they are not computed anew at every place.
     last = F.greatest(F.size("words") - SIZE, F.lit(0))
-    texts = F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice("words", i + 1, SIZE), " "))
+    texts = F.transform(F.sequence(F.lit(0), last), lambda i: F.concat_ws(" ", *[F.get("words", i + k) for k in range(SIZE)]))
     found = rows.select("item", F.explode(texts).alias("passage"))
     found = found.groupBy("passage").agg(F.array_sort(F.collect_set("item")).alias("items"))
     return found.withColumn("class", F.sha2(F.array_join("items", ","), 256))
@@ -115,17 +113,16 @@ def _long_matches(docs: DataFrame, passages: DataFrame) -> DataFrame:
 
     def around(p: Column) -> Column:
         at = _place_of(p)
-        first = F.greatest(at - (SIZE - GRAM), F.lit(0))
-        near = F.slice("words", first + 1, at - first + SIZE)
-        return F.struct(_hash_of(p).alias("least"), at.alias("at"), first.alias("first"), near.alias("near"))
+        near = F.array(*[F.get("words", at + k) for k in range(GRAM - SIZE, SIZE)])
+        return F.struct(_hash_of(p).alias("least"), at.alias("at"), near.alias("near"))
 
     prints = fingerprints(docs.select("key", words(F.col("text")).alias("words")))
     prints = prints.select("key", F.explode(F.transform("prints", around)).alias("p")).select("key", "p.*")
     hits = prints.join(index, "least")
-    starts = F.filter(F.transform("offsets", lambda o: F.col("at") - o), lambda s: s >= F.col("first"))
-    hits = hits.select("key", "first", "near", F.explode(starts).alias("start"))
-    own = F.slice("near", F.col("start") - F.col("first") + 1, SIZE)
-    return _matched(hits.select("key", "start", F.array_join(own, " ").alias("passage")), passages)
+    hits = hits.select("key", "at", "near", F.explode("offsets").alias("offset")).where("offset <= at")
+    # Words beyond the end are missing, so that what is left is too short for a window.
+    own = F.slice("near", SIZE - GRAM + 1 - F.col("offset"), SIZE)
+    return _matched(hits.select("key", (F.col("at") - F.col("offset")).alias("start"), F.array_join(own, " ").alias("passage")), passages)
 
 
 def _short_matches(docs: DataFrame, passages: DataFrame) -> DataFrame:
@@ -150,10 +147,12 @@ def _short_matches(docs: DataFrame, passages: DataFrame) -> DataFrame:
     again = docs.join(F.broadcast(places) if room <= 500_000 else places, "key")
     again = again.select("key", "places", words(F.col("text")).alias("words"))
     inside = F.filter("places", lambda p: p["start"] + p["n"] <= F.size("words"))
-    texts = F.transform(
-        inside,
-        lambda p: F.struct(p["start"].alias("start"), F.array_join(F.slice("words", p["start"] + 1, p["n"]), " ").alias("passage")),
-    )
+
+    def own(p: Column) -> Column:
+        some = [F.when(p["n"] > k, F.get("words", p["start"] + k)) for k in range(SIZE - 1)]
+        return F.struct(p["start"].alias("start"), F.concat_ws(" ", *some).alias("passage"))
+
+    texts = F.transform(inside, own)
     texts = again.select("key", F.explode(texts).alias("p")).select("key", "p.*")
     return _matched(texts, passages)
 
