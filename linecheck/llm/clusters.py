@@ -174,7 +174,8 @@ def clustered(rows: DataFrame, k: int, rounds: int, first: Column) -> DataFrame:
     start = rows.orderBy(*order).limit(k).collect()
     centroids = np.array([row.vector for row in start], np.int64)
     for _ in range(rounds):
-        for row in _sums(data, packed(centroids, planes)).toLocalIterator():
+        # At most k rows, in one job; an iterator would start one for every partition of the shuffle.
+        for row in _sums(data, packed(centroids, planes)).collect():
             centroids[row.cluster] = [int(row[f"s{i}"]) // row.n for i in range(DIMS)]
     last = packed(centroids, planes)
 

@@ -100,3 +100,20 @@ def test_no_rows(spark):
 def test_components_that_do_not_fit(spark):
     with pytest.raises(ValueError, match="64 bits"):
         found_rows(spark, [(1, [1e30] * 64, 0)], 4, 2)
+
+
+def test_a_round_starts_no_job_for_every_partition(spark):
+    rows = clusters.whole_vectors(spark.createDataFrame(vectors(6, 50), SCHEMA), 256)
+    context = spark.sparkContext
+    context.setJobGroup("clusters", "rounds")
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        clusters.clustered(rows, 4, 5, F.col("vec_id").cast("string"))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < len(context.statusTracker().getJobIdsForGroup("clusters")) < 40
