@@ -53,15 +53,15 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as token ids, with the number of bytes that they decode to; of a missing or empty text, none."""
     ship(spark)
     tokenizer = bpe.Tokenizer(spark, RANKS, public_tokenizers.PATTERN)
-    coded = tokenizer.round_trip(F.col("text"))
+    coded = tokenizer.counted(F.col("text"))
     rows = docs.select("doc_id", "lang", "source", coded.alias("coded"))
     return rows.select(
         "doc_id",
         "lang",
         "source",
-        (F.octet_length("coded.ids") / 4).cast("long").alias("n_tokens"),
-        F.octet_length("coded.bytes").cast("long").alias("n_bytes"),
-        bpe.numbers(F.col("coded.ids")).alias("token_ids"),
+        F.size("coded.token_ids").cast("long").alias("n_tokens"),
+        "coded.n_bytes",
+        "coded.token_ids",
     )
 
 

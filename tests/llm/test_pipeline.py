@@ -86,3 +86,24 @@ def test_awkward_documents_and_none(spark):
             docs = spark.createDataFrame(stage(spark, docs, "").collect(), stage(spark, docs, "").schema)
             assert docs.columns == columns or name == corpus_pipeline.STAGES[-1][0]
         assert "token_ids" in docs.columns
+
+
+def test_tokens_need_one_python_process_a_task(spark):
+    docs = awkward_docs(spark, clashes=True)
+    plan = corpus_pipeline.tokens(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_tokens_of_awkward_documents_in_small_pieces(spark):
+    docs = awkward_docs(spark, clashes=True)
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        ranks = bpe.parsed(file.read())
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        found = corpus_pipeline.tokens(spark, docs, "").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    texts = Counter((r.doc_id, tuple(own.encode_ordinary(r.text or "")), len((r.text or "").encode())) for r in docs.collect())
+    assert Counter((r.doc_id, tuple(r.token_ids), r.n_bytes) for r in found) == texts
+    assert all(r.n_tokens == len(r.token_ids) for r in found)
