@@ -1,5 +1,7 @@
 """Files and catalog tables, in fresh folders."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ import golden
 from linecheck import schemas as S
 from linecheck.operators import keyed
 from linecheck.operators.template import template_positions
+from linecheck.queries import catalog, inputs
 from linecheck.sources import files, jdbc, tables
 
 TEMPLATE_CSV = "lineNmb,leadDiff,padDiff,leadThreshold,padThreshold\n1,0,0,0.5,0.5\n2,5,3,0.5,0.5\n3,5,3,0.5,0.5\n"
@@ -258,3 +261,18 @@ def test_a_written_table_is_switched_to_its_new_version(spark):
     assert stored.count() == 10 and stored.where("v = 9").count() == 6
     assert not spark.catalog.tableExists("linecheck_w_next")
     tables.drop_table(spark, "linecheck_w")
+
+
+def test_template_files_are_written_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(files, "FILES_PER_TASK", 1, raising=False)
+    folder = "/root/testdata/sf0.001"
+    found = catalog.template_files(spark, folder)
+    assert as_tuples(found) == as_tuples(inputs.templates(spark, folder).select(*found.columns))
+    tasks = {re.search(r"part-(\d+)", name).group(1) for name in found.inputFiles()}
+    assert 1 < len(tasks) <= len(found.inputFiles()) == found.select("model_key").distinct().count()
+
+
+def test_no_templates_are_written_and_read(spark, tmp_path):
+    rows = inputs.template_rows(spark, "/root/testdata/sf0.001").where("false")
+    files.write_templates(rows, str(tmp_path / "none"))
+    assert files.read_templates(spark, str(tmp_path / "none")).count() == 0
