@@ -4,6 +4,7 @@ import random
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 import golden
@@ -481,6 +482,47 @@ def test_state_of_other_histories_is_not_written(spark, tmp_path):
     assert keyed_state.open_rows(spark, f"{tmp_path}/progress").count() == 2 * 29 + 1
 
 
+class Kept:
+    """A value or a list of the state store, with the number of rows that went into it."""
+
+    def __init__(self):
+        self.value, self.rows, self.put = None, [], 0
+
+    def get(self):
+        return iter(list(self.rows)) if self.value is None else self.value
+
+    def update(self, value):
+        self.value = value
+
+    def appendList(self, rows):
+        self.rows += rows
+        self.put += len(rows)
+
+    def clear(self):
+        self.rows = []
+
+
+@pytest.mark.parametrize("held", (20_000, 3))
+def test_rows_that_their_own_batch_closes_are_not_stored(monkeypatch, held):
+    def reading(line, second):
+        return Row(*S.LINES.names)(line, "E1", "M1", f"2021-04-23 08:{second // 60:02}:{second % 60:02}", "5", "0", "3", "0")
+
+    class Known(Kept):
+        def get(self):
+            return self.value
+
+    monkeypatch.setattr(keyed_state, "HELD", held, raising=False)
+    samples = keyed_state.OpenSamples()
+    samples.known, samples.rows = Known(), Kept()
+    batches = [[reading(1 + n % 4, n) for n in range(400)], [reading(2, 399), reading(3, 10), reading(1, 500)], [reading(2, 501)]]
+    given = [[(r.linenmb, r.datetime[-5:], r.kind) for r in samples.handleInputRows(("E1", "M1"), iter(b), None)] for b in batches]
+    assert len(given[0]) == 396 and {kind for *_, kind in given[0]} == {keyed_state.CLOSED}
+    assert sorted(given[1]) == [(1, "06:36", "closed"), (2, "06:37", "closed"), (2, "06:39", "closed"), (3, "00:10", "late"), (3, "06:38", "closed"), (4, "06:39", "closed")]
+    assert given[2] == [] and [(r[0], r[3][-5:]) for r in samples.rows.rows] == [(1, "08:20"), (2, "08:21")]
+    if held > 400:
+        assert samples.rows.put == 4 + 1 + 1
+
+
 def test_a_timer_closes_an_idle_sample(spark, tmp_path):
     def reading(eq, line, time):
         return (line, eq, "M1", f"2021-04-23 08:{time}", "5", "0", "3", "0")
