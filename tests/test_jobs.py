@@ -325,6 +325,27 @@ def test_stream_equals_batch(spark, tmp_path, seed):
     assert ordered(inspect.read_verdicts(spark, out).collect()) == ordered(whole)
 
 
+@pytest.mark.parametrize("limit", (1000, 5))
+def test_a_batch_counts_the_rows_of_histories_once(spark, tmp_path, monkeypatch, limit):
+    limits = []
+
+    def checked(rows, templates, limit):
+        limits.append(limit)
+        return check(rows, templates, limit=limit)
+
+    monkeypatch.setattr(inspect, "check", checked)
+    rows = ticking_readings(1)
+    templates = as_templates(spark, {"M1": golden.TEMPLATE})
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for part in parts(rows, CUTS):
+        spark.createDataFrame(part, S.LINES).coalesce(1).write.mode("append").parquet(source)
+        stream = inspect.read_stream(spark, source)
+        inspect.inspect_stream(stream, templates, out, str(tmp_path / "progress"), limit=limit).awaitTermination()
+    inspect.close_open_samples(spark, S.LINES, templates, out, 2, limit=limit)
+    assert ordered(inspect.read_verdicts(spark, out).collect()) == ordered(restated.verdicts(rows, {"M1": golden.TEMPLATE}))
+    assert limits == ([None, None, None, 1000] if limit == 1000 else [5] * 4)
+
+
 def test_late_rows_of_a_stream_are_left_out(spark, tmp_path):
     first = [(1, "E1", "M1", "2021-04-23 08:00:00", "0", "0", "0", "0"), (1, "E1", "M1", "2021-04-23 08:00:09", "0", "0", "0", "0")]
     late = [(2, "E1", "M1", "2021-04-23 08:00:08", "5", "0", "3", "0"), (2, "E1", "M1", "2021-04-23 08:00:09", "5", "0", "3", "0")]
